@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import events
+from . import events, profiles
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "events"]
+__all__ = ["ORACLES", "QUERIES", "events", "profiles"]

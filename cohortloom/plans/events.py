@@ -209,7 +209,11 @@ def behaviors(spark, sf_dir):
         {"window": "20d", "name": "seen_20d", "event_selectors": []},
     ]
     profiles = D.customers(spark, sf_dir)
-    out = B.with_behaviors(profiles, D.events(spark, sf_dir), wanted, as_of, 5.5)
+    # The longest window on the stored column, so that the scan skips older days.
+    recent = E.scan_events(
+        D.table(spark, sf_dir, "events"), "2024-01-10", "2024-01-30", None, "ts", "ts"
+    )
+    out = B.with_behaviors(profiles, D.shaped(recent), wanted, as_of, 5.5)
     return out.select("distinct_id", "bought_7d", "seen_20d")
 
 
