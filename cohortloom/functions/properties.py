@@ -102,14 +102,17 @@ def props_of(values: Mapping[str, Any]) -> Column:
     return F.create_map(*parts)
 
 
-def props_from_columns(columns: Mapping[str, tuple[Column | str, str]]) -> Column:
-    """A property map from ``{name: (column, type)}``; NULL columns are left out."""
+def props_from_texts(texts: Mapping[str, Column]) -> Column:
+    """A property map from ``{name: JSON-text Column}``; NULLs are left out."""
     entries = [
-        F.struct(F.lit(name).alias("key"), json_text(c, dtype).alias("value"))
-        for name, (c, dtype) in columns.items()
+        F.struct(F.lit(name).alias("key"), text.alias("value")) for name, text in texts.items()
     ]
-    kept = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-    return F.map_from_entries(kept)
+    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+
+
+def props_from_columns(columns: Mapping[str, tuple[Column | str, str]]) -> Column:
+    """A property map from ``{name: (column, type)}``; NULL columns are left out."""
+    return props_from_texts({n: json_text(c, dtype) for n, (c, dtype) in columns.items()})
 
 
 def props_from_variants(m: Column | str) -> Column:

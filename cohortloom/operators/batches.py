@@ -63,7 +63,8 @@ def batch_payloads(
     joined = F.concat(
         F.lit("["), F.array_join(F.transform("rows", lambda r: r["item"]), ","), F.lit("]")
     )
-    payload = F.base64(joined.cast("binary")) if encode else joined
+    # Spark breaks base64 into lines; receivers want one.
+    payload = F.translate(F.base64(joined.cast("binary")), "\r\n", "") if encode else joined
     return (
         numbered.groupBy(batch)
         .agg(rows.alias("rows"))

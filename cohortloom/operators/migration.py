@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import properties as P
 from ..functions import times as T
 from ..functions.text import clean_insert_id, truthy_text
+from .updates import latest_properties
 
 # Source field -> property name.
 RENAMED = {
@@ -149,14 +150,7 @@ def fold_profiles(profile_rows: DataFrame) -> DataFrame:
     Values of the same moment are told apart by their text. Rows without an id
     belong to no profile.
     """
-    return (
-        profile_rows.where(F.col("distinct_id").isNotNull())
-        .select("distinct_id", "time_ms", F.explode("properties").alias("name", "text"))
-        .groupBy("distinct_id", "name")
-        .agg(F.max_by("text", F.struct("time_ms", "text")).alias("text"))
-        .groupBy("distinct_id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("properties"))
-    )
+    return latest_properties(profile_rows, "time_ms")
 
 
 def merge_pairs(records: DataFrame, distinct: bool = True) -> DataFrame:

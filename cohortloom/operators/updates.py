@@ -233,6 +233,22 @@ def update_from_rows(
     return joined.withColumn("properties", after).select(*profiles.columns)
 
 
+def latest_properties(rows: DataFrame, order: Column | str) -> DataFrame:
+    """Many property maps per id to one: per property the last value in ``order`` wins.
+
+    One value per id and property is kept while aggregating. ``order`` must be
+    unique per id.
+    """
+    return (
+        rows.where(F.col("distinct_id").isNotNull())
+        .select("distinct_id", P._col(order).alias("_o"), F.explode("properties").alias("name", "text"))
+        .groupBy("distinct_id", "name")
+        .agg(F.max_by("text", F.struct("_o", "text")).alias("text"))
+        .groupBy("distinct_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("properties"))
+    )
+
+
 # ----------------------------------------------------------------- update records
 
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import events, profiles
+from . import events, files, migration, profiles, streams
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "events", "profiles"]
+__all__ = ["ORACLES", "QUERIES", "events", "files", "migration", "profiles", "streams"]

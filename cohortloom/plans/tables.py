@@ -106,15 +106,9 @@ def raw_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(T.epoch_s("ts").cast("string"))
     )
     user = F.when(k <= 90, P.json_text(text_id("user_id"), "string"))
-    entries = F.array(
-        F.struct(F.lit("time").alias("key"), time.alias("value")),
-        F.struct(F.lit("distinct_id"), user),
-        F.struct(F.lit("k"), k.cast("string")),
-    )
+    props = P.props_from_texts({"time": time, "distinct_id": user, "k": k.cast("string")})
     return table(spark, sf_dir, "events").select(
-        "event_id",
-        F.col("event_type").alias("event"),
-        F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull())).alias("properties"),
+        "event_id", F.col("event_type").alias("event"), props.alias("properties")
     )
 
 

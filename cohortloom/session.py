@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +43,19 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for the few tasks that run Python.
+
+    Spark distributes the archive itself. Not needed where the package is
+    installed on all nodes or given to ``spark-submit --py-files``.
+    """
+    if spark.conf.get("spark.cohortloom.shipped", None):
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='cohortloom-')}/{package.name}", "zip", package.parent, package.name
+    )
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.cohortloom.shipped", "true")

@@ -24,15 +24,9 @@ def import_profiles(profiles: DataFrame, incoming: DataFrame, order: str | None
     ``order`` names a column deciding which of several rows for one id comes
     later; without it an id must come once.
     """
-    if order is None:
-        return U.update_from_rows(profiles, incoming, U.SET, "properties")
-    feed = incoming.select(
-        "distinct_id",
-        F.col(order).alias("seq"),
-        F.lit(U.SET).alias("op"),
-        F.col("properties").alias("payload"),
-    )
-    return folding.apply_updates(profiles, feed)
+    if order is not None:
+        incoming = U.latest_properties(incoming, order)
+    return U.update_from_rows(profiles, incoming, U.SET, "properties")
 
 
 def import_update_records(profiles: DataFrame, records: DataFrame, order: str) -> DataFrame:

@@ -26,14 +26,8 @@ def cell_text(cell: Column | str) -> Column:
 def props_from_cells(df: DataFrame, ignored: Iterable[str]) -> Column:
     """All cells but the ignored columns as one property map; empty cells are absent."""
     ignored = set(ignored)
-    entries = [
-        F.struct(F.lit(c).alias("key"), cell_text(F.col(f"`{c}`")).alias("value"))
-        for c in df.columns
-        if c not in ignored
-    ]
-    if not entries:
-        return P.empty_props()
-    return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
+    texts = {c: cell_text(F.col(f"`{c}`")) for c in df.columns if c not in ignored}
+    return P.props_from_texts(texts) if texts else P.empty_props()
 
 
 def read_cells(spark: SparkSession, paths) -> DataFrame:

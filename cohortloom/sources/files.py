@@ -17,9 +17,20 @@ def list_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     return reader.load(path).select("path", "length")
 
 
+def _locate(path: str) -> tuple[fs.FileSystem, str]:
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + unquote(path.removeprefix("file:")).lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
 def open_file(path: str) -> pa.NativeFile:
     """A seekable file of any store Arrow knows (local, HDFS, S3, GCS)."""
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + unquote(path[5:]).lstrip("/"))
-    store, inner = fs.FileSystem.from_uri(path)
+    store, inner = _locate(path)
     return store.open_input_file(inner)
+
+
+def create_file(path: str) -> pa.NativeFile:
+    """A new file to write, its folder made where the store has folders."""
+    store, inner = _locate(path)
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return store.open_output_stream(inner)
