@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 PROPS = "map<string,string>"
@@ -136,6 +136,19 @@ def props_to_json(m: Column | str) -> Column:
     return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
 
+def explode_props(
+    df: DataFrame, *columns: Column | str, key: str = "name", value: str = "text"
+) -> DataFrame:
+    """One row per property: ``columns``, ``key`` and ``value`` (JSON text).
+
+    The outer form is used because for the plain one Catalyst infers a filter on
+    the map's size and pushes it down, which computes the map twice, and the
+    second time without sharing anything within it.
+    """
+    rows = df.select(*columns, F.explode_outer("properties").alias(key, value))
+    return rows.where(F.col(key).isNotNull())
+
+
 # ------------------------------------------------------------- typed access
 
 

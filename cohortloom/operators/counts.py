@@ -51,7 +51,7 @@ def event_counts_to_profiles(events: DataFrame, profiles: DataFrame) -> DataFram
 def property_catalog(items: DataFrame) -> DataFrame:
     """Each property name with the number of items that carry it."""
     return (
-        items.select(F.explode(F.map_keys("properties")).alias("property"))
+        P.explode_props(items, key="property")
         .groupBy("property")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -91,7 +91,7 @@ def merged_properties(
         kept.select(F.col("keeper_id").alias("distinct_id")), "distinct_id", "left_anti"
     )
     newest = (
-        losers.select("_match", "_recency", F.explode("properties").alias("name", "text"))
+        P.explode_props(losers, "_match", "_recency")
         .where(F.col("name") != LAST_SEEN)
         .groupBy("_match", "name")
         .agg(F.max_by("text", "_recency").alias("text"))

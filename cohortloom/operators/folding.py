@@ -43,7 +43,7 @@ def update_actions(updates: DataFrame) -> DataFrame:
         updates.where(F.col("distinct_id").isNotNull() & F.col("op").isin(*U.OPERATIONS))
         .withColumn(
             "e",
-            F.explode(
+            F.explode_outer(
                 F.when((F.col("op") == U.DELETE) | (F.size("payload") < 1), nothing).otherwise(
                     F.coalesce(entries, nothing)
                 )
@@ -60,9 +60,11 @@ def update_actions(updates: DataFrame) -> DataFrame:
         .when((F.col("op") == U.UNION) & (F.col("value") != "[]"), united)
         .otherwise(none)
     )
-    return per_prop.select(
-        "distinct_id", "prop", "seq", "op", "value", F.posexplode(elems).alias("pos", "elem")
+    # Outer explodes, for the reason given at ``explode_props``.
+    rows = per_prop.select(
+        "distinct_id", "prop", "seq", "op", "value", F.posexplode_outer(elems).alias("pos", "elem")
     )
+    return rows.where(F.col("pos").isNotNull())
 
 
 def _max_seq(*ops: str) -> Column:

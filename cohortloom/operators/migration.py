@@ -55,7 +55,9 @@ def parse_records(lines: DataFrame, column: str = "record") -> DataFrame:
     ``fields`` keeps every top-level field as JSON text, so that a field that is
     there but null can be told from one that is not there.
     """
-    fields = lines.select(P.parse_props(column).alias("fields"))
+    # Through a generator, which filters on a record's parts are not pushed across:
+    # each record is parsed once, whatever is asked of it later.
+    fields = lines.select(F.explode_outer(F.array(P.parse_props(column))).alias("fields"))
     return fields.select(
         P.prop_string("fields", "event_type").alias("event_type"),
         P.prop_string("fields", "event_time").alias("event_time"),

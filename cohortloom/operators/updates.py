@@ -239,9 +239,9 @@ def latest_properties(rows: DataFrame, order: Column | str) -> DataFrame:
     One value per id and property is kept while aggregating. ``order`` must be
     unique per id.
     """
+    known = rows.where(F.col("distinct_id").isNotNull())
     return (
-        rows.where(F.col("distinct_id").isNotNull())
-        .select("distinct_id", P._col(order).alias("_o"), F.explode("properties").alias("name", "text"))
+        P.explode_props(known, "distinct_id", P._col(order).alias("_o"))
         .groupBy("distinct_id", "name")
         .agg(F.max_by("text", F.struct("_o", "text")).alias("text"))
         .groupBy("distinct_id")
@@ -342,7 +342,8 @@ def read_update_records(records: DataFrame, column: str = "record", order: str |
         F.transform(F.array_distinct(names), lambda n: F.struct(n, F.lit("null")))
     )
     return (
-        parsed.withColumn("op", F.explode(ops))
+        parsed.withColumn("op", F.explode_outer(ops))
+        .where(F.col("op").isNotNull())
         .select(
             F.coalesce(P.prop_string("_f", "$distinct_id"), P.prop_string("_f", "distinct_id")).alias(
                 "distinct_id"

@@ -203,9 +203,9 @@ FROM (SELECT distinct_id, l, unnest(generate_series(1, len(l))) AS i FROM (SELEC
 def _open(profiles: DataFrame) -> DataFrame:
     """List properties as one row per element, positions from 1."""
     opened = X.long_form(profiles, "distinct_id").select(
-        "distinct_id", "key", F.posexplode(P.open_list("value")).alias("pos", "value")
+        "distinct_id", "key", F.posexplode_outer(P.open_list("value")).alias("pos", "value")
     )
-    return opened.withColumn("pos", F.col("pos") + 1)
+    return opened.where(F.col("pos").isNotNull()).withColumn("pos", F.col("pos") + 1)
 
 
 @plan(_elements("tags", "list_append(tags, '\"new\"')") + " UNION ALL " + _elements("fresh", "['7']"))

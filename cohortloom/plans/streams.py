@@ -151,7 +151,7 @@ def stream_updates(spark, sf_dir):
             (F.col("event_id") * 2 + 1).alias("seq"),
         ),
     )
-    updates = feed.select(D.text_id("user_id").alias("distinct_id"), F.explode(ops).alias("u")).select(
+    updates = feed.select(D.text_id("user_id").alias("distinct_id"), F.explode_outer(ops).alias("u")).select(
         "distinct_id", "u.seq", "u.op", "u.payload"
     )
     S.update_profiles(updates, f"{path}/profiles", f"{path}/checkpoint", once=True).awaitTermination()

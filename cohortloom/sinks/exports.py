@@ -47,7 +47,7 @@ def property_names(items: DataFrame) -> list[str]:
     Names are reduced on the executors; what comes to the driver is the header,
     which a table's schema needs there.
     """
-    names = items.select(F.explode(F.map_keys("properties")).alias("name")).distinct()
+    names = P.explode_props(items).select("name").distinct()
     return sorted(r["name"] for r in names.toLocalIterator())
 
 
@@ -159,6 +159,6 @@ def write_split(tagged: DataFrame, valid_path: str, invalid_path: str) -> None:
 
 def long_form(items: DataFrame, *ids: str) -> DataFrame:
     """``ids, key, value`` rows: one per property."""
-    return items.select(*ids, F.explode("properties").alias("key", "value"))
+    return P.explode_props(items, *ids, key="key", value="value")
 
 
