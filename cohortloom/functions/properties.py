@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 PROPS = "map<string,string>"
 
-_INTEGER = r"^-?(0|[1-9][0-9]*)$"
+_FRACTION = r"^-?[0-9]+[.eE]"
 _NUMBER = r"^-?[0-9]"
+# What a JSON string must escape.
+_ESCAPED = r"[\"\\\x00-\x1f]"
 # Whole doubles below this print as integers.
 _EXACT = 1e15
 
@@ -44,17 +46,23 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def canonical(text: Column) -> Column:
-    """One spelling per JSON scalar: ``1.0`` and ``1`` give the same text."""
+    """One spelling per JSON scalar: ``1.0`` and ``1`` give the same text.
+
+    Integers, strings and nested values are canonical as the parser prints them;
+    only numbers with a fraction or an exponent need a look.
+    """
     as_double = text.try_cast("double")
     whole = (as_double == F.floor(as_double)) & (F.abs(as_double) < F.lit(_EXACT))
     number = F.when(whole, as_double.cast("bigint").cast("string")).otherwise(
         F.to_json(as_double.cast("variant"))
     )
-    return (
-        F.when(text.rlike(_INTEGER), text)
-        .when(text.rlike(_NUMBER), F.coalesce(number, text))
-        .otherwise(text)
-    )
+    return F.when(text.rlike(_FRACTION), F.coalesce(number, text)).otherwise(text)
+
+
+def quoted(text: Column) -> Column:
+    """JSON string of a text; the writer is asked only if something needs escaping."""
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(_ESCAPED), F.to_json(text.cast("variant"))).otherwise(plain)
 
 
 def json_text(c: Column | str, dtype: T.DataType | str) -> Column:
@@ -70,7 +78,7 @@ def json_text(c: Column | str, dtype: T.DataType | str) -> Column:
             F.to_json(d.cast("variant"))
         )
     if name == "string":
-        return F.to_json(c.cast("variant"))
+        return quoted(c)
     if name == "variant":
         return canonical(F.to_json(c))
     if name in ("date", "timestamp", "timestamp_ntz"):
@@ -131,7 +139,7 @@ def props_to_json(m: Column | str) -> Column:
     entries = F.array_sort(F.map_entries(_col(m)))
     pairs = F.transform(
         entries,
-        lambda e: F.concat(F.to_json(e["key"].cast("variant")), F.lit(":"), e["value"]),
+        lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]),
     )
     return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
@@ -248,8 +256,12 @@ def rename_props(m: Column | str, names: Mapping[str, str]) -> Column:
             ok = ok & ~((k == src) & hidden)
         return ok
 
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.transform_keys(F.map_filter(m, kept), lambda k, _: table[k])
+    chosen = F.map_filter(m, kept)
+    changed = [F.lit(x) for pair in names.items() if pair[0] != pair[1] for x in pair]
+    if not changed:
+        return chosen
+    table = F.create_map(*changed)
+    return F.transform_keys(chosen, lambda k, _: F.coalesce(F.try_element_at(table, k), k))
 
 
 # ------------------------------------------------------------------- lists

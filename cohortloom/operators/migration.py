@@ -52,23 +52,37 @@ MERGE_EVENT = "$merge"
 def parse_records(lines: DataFrame, column: str = "record") -> DataFrame:
     """Lines of JSON text to typed records.
 
-    ``fields`` keeps every top-level field as JSON text, so that a field that is
-    there but null can be told from one that is not there.
+    ``fields`` keeps the fields of the fixed table as JSON text, so that a field
+    that is there but null can be told from one that is not there. Others are
+    dropped before they are turned into text.
     """
     # Through a generator, which filters on a record's parts are not pushed across:
     # each record is parsed once, whatever is asked of it later.
-    fields = lines.select(F.explode_outer(F.array(P.parse_props(column))).alias("fields"))
-    return fields.select(
-        P.prop_string("fields", "event_type").alias("event_type"),
-        P.prop_string("fields", "event_time").alias("event_time"),
-        P.prop_string("fields", "user_id").alias("user_id"),
-        P.prop_string("fields", "device_id").alias("device_id"),
-        P.prop_string("fields", "amplitude_id").alias("amplitude_id"),
-        P.prop("fields", "ip_address").alias("ip_address"),
-        P.prop("fields", "country").alias("country"),
-        P.parse_props(P.prop("fields", "event_properties")).alias("event_properties"),
-        P.parse_props(P.prop("fields", "user_properties")).alias("user_properties"),
-        "fields",
+    parsed = lines.select(
+        F.explode_outer(F.array(F.from_json(column, "map<string,variant>"))).alias("_r")
+    )
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(F.try_element_at("_r", F.lit(name)), "$", "string").alias(name)
+
+    def nested(name: str) -> Column:
+        inner = F.try_variant_get(
+            F.try_element_at("_r", F.lit(name)), "$", "map<string,variant>"
+        )
+        return P.props_from_variants(inner).alias(name)
+
+    known = F.map_filter("_r", lambda k, _: k.isin(list(RENAMED)))
+    return parsed.select(
+        text("event_type"),
+        text("event_time"),
+        text("user_id"),
+        text("device_id"),
+        text("amplitude_id"),
+        F.to_json(F.try_element_at("_r", F.lit("ip_address"))).alias("ip_address"),
+        F.to_json(F.try_element_at("_r", F.lit("country"))).alias("country"),
+        nested("event_properties"),
+        nested("user_properties"),
+        P.props_from_variants(known).alias("fields"),
     )
 
 

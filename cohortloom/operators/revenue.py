@@ -16,23 +16,20 @@ def transaction_total(m: Column | str = "properties", strict: bool = True) -> Co
     """Sum of ``$amount`` over the transaction list; no list gives 0.
 
     As specified, the sum stops at the first transaction without ``$amount``
-    and keeps what it has. ``strict=False`` skips such transactions instead.
+    (or with one that is not a number) and keeps what it has. ``strict=False``
+    skips such transactions instead.
     """
-    items = F.from_json(P.prop(m, TRANSACTIONS), "array<map<string,variant>>")
-    amounts = F.transform(
-        items,
-        lambda t: F.struct(
-            F.coalesce(F.map_contains_key(t, F.lit(AMOUNT)), F.lit(False)).alias("has"),
-            F.try_variant_get(F.try_element_at(t, F.lit(AMOUNT)), "$", "double").alias("amount"),
-        ),
-    )
+    items = F.from_json(P.prop(m, TRANSACTIONS), f"array<struct<`{AMOUNT}`: double>>")
+    amounts = F.transform(items, lambda t: t[AMOUNT])
 
-    def total(rows: Column) -> Column:
-        return F.aggregate(rows, F.lit(0.0), lambda s, r: s + F.coalesce(r["amount"], F.lit(0.0)))
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0)))
 
-    def until_missing(rows: Column) -> Column:
-        cut = F.array_position(F.transform(rows, lambda r: r["has"]), False)
-        return F.when(cut == 0, rows).otherwise(F.slice(rows, F.lit(1), (cut - 1).cast("int")))
+    def until_missing(values: Column) -> Column:
+        cut = F.array_position(F.transform(values, F.isnull), True)
+        return F.when(cut == 0, values).otherwise(
+            F.slice(values, F.lit(1), (cut - 1).cast("int"))
+        )
 
     summed = total(P.bind(amounts, until_missing)) if strict else total(amounts)
     return F.coalesce(summed, F.lit(0.0))

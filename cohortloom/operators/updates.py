@@ -332,26 +332,27 @@ def read_update_records(records: DataFrame, column: str = "record", order: str |
     A record may carry several operations; they share its position. ``$unset``
     takes a list of names, ``$delete`` has no payload.
     """
-    fields = P.parse_props(column)
     seq = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    fields = F.from_json(column, "map<string,variant>")
     parsed = records.select(seq.alias("seq"), fields.alias("_f"))
     ops = F.filter(F.map_keys("_f"), lambda k: k.isin(*OPERATIONS))
-    payload = F.element_at("_f", F.col("op"))
-    names = F.transform(P.open_list(payload), lambda t: P.unquoted(t))
-    unset_map = F.map_from_entries(
-        F.transform(F.array_distinct(names), lambda n: F.struct(n, F.lit("null")))
-    )
+    given = F.try_element_at("_f", F.col("op"))
+
+    def text(name: str) -> Column:
+        return F.try_variant_get(F.try_element_at("_f", F.lit(name)), "$", "string")
+
+    names = F.array_distinct(F.try_variant_get(given, "$", "array<string>"))
+    dropped = F.map_from_entries(F.transform(names, lambda n: F.struct(n, F.lit("null"))))
+    payload = P.props_from_variants(F.try_variant_get(given, "$", "map<string,variant>"))
     return (
         parsed.withColumn("op", F.explode_outer(ops))
         .where(F.col("op").isNotNull())
         .select(
-            F.coalesce(P.prop_string("_f", "$distinct_id"), P.prop_string("_f", "distinct_id")).alias(
-                "distinct_id"
-            ),
+            F.coalesce(text("$distinct_id"), text("distinct_id")).alias("distinct_id"),
             "seq",
             "op",
-            F.when(F.col("op") == UNSET, unset_map)
-            .when(F.col("op") != DELETE, P.parse_props(payload))
+            F.when(F.col("op") == UNSET, dropped)
+            .when(F.col("op") != DELETE, payload)
             .alias("payload"),
         )
         .where(F.col("distinct_id").isNotNull())

@@ -18,7 +18,7 @@ def cell_text(cell: Column | str) -> Column:
     return F.when(
         cell != "",
         F.coalesce(
-            P.canonical(F.to_json(F.try_parse_json(cell))), F.to_json(cell.cast("variant"))
+            P.canonical(F.to_json(F.try_parse_json(cell))), P.quoted(cell)
         ),
     )
 
@@ -30,14 +30,16 @@ def props_from_cells(df: DataFrame, ignored: Iterable[str]) -> Column:
     return P.props_from_texts(texts) if texts else P.empty_props()
 
 
-def read_cells(spark: SparkSession, paths) -> DataFrame:
+def read_cells(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
     """CSV with a header, every cell text; quotes doubled, newlines allowed in cells.
 
     A short row's missing cells are empty. Files must agree on their header.
+    Turn ``multi_line`` off where no cell holds a newline: a large file is then
+    split over many tasks.
     """
     return spark.read.options(
         header=True,
-        multiLine=True,
+        multiLine=multi_line,
         escape='"',
         quote='"',
         inferSchema=False,
@@ -77,9 +79,11 @@ def profiles_from_cells(df: DataFrame) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, paths, time_converter=None) -> DataFrame:
-    return events_from_cells(read_cells(spark, paths), time_converter)
+def read_events(
+    spark: SparkSession, paths, time_converter=None, multi_line: bool = True
+) -> DataFrame:
+    return events_from_cells(read_cells(spark, paths, multi_line), time_converter)
 
 
-def read_profiles(spark: SparkSession, paths) -> DataFrame:
-    return profiles_from_cells(read_cells(spark, paths))
+def read_profiles(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
+    return profiles_from_cells(read_cells(spark, paths, multi_line))
