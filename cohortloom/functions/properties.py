@@ -82,8 +82,8 @@ def json_text(c: Column | str, dtype: T.DataType | str) -> Column:
     if name == "variant":
         return canonical(F.to_json(c))
     if name in ("date", "timestamp", "timestamp_ntz"):
-        fmt = "yyyy-MM-dd" if name == "date" else "yyyy-MM-dd'T'HH:mm:ss"
-        return F.concat(F.lit('"'), F.date_format(c, fmt), F.lit('"'))
+        printed = F.translate(F.substring(c.cast("string"), 1, 19), " ", "T")
+        return F.concat(F.lit('"'), printed, F.lit('"'))
     # Nested values go through the parser so inner keys and numbers are canonical.
     return F.to_json(F.parse_json(F.to_json(c)))
 

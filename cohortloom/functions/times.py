@@ -34,14 +34,21 @@ def ntz(c: Column | str) -> Column:
     return _col(c).cast("timestamp_ntz")
 
 
+def _since_epoch(ts: Column | str) -> Column:
+    # An interval of two zone-less times. timestampdiff() would go through the
+    # session zone and be an hour off where its clocks skip one.
+    gap = ntz(ts) - ntz(F.lit(_EPOCH))
+    return gap.cast("interval second").cast("decimal(20,6)")
+
+
 def epoch_ms(ts: Column | str) -> Column:
     """Milliseconds since the epoch, truncated."""
-    return F.timestamp_diff("MILLISECOND", ntz(F.lit(_EPOCH)), ntz(ts))
+    return (_since_epoch(ts) * 1000).cast("bigint")
 
 
 def epoch_s(ts: Column | str) -> Column:
     """Seconds since the epoch, truncated."""
-    return F.timestamp_diff("SECOND", ntz(F.lit(_EPOCH)), ntz(ts))
+    return _since_epoch(ts).cast("bigint")
 
 
 def from_epoch_s(seconds: Column | str) -> Column:
@@ -81,8 +88,11 @@ def parse_export_time(text: Column | str, strict: bool = True) -> Column:
 
 
 def parse_hour_stamp(text: Column | str) -> Column:
-    """``yyyyMMddTHH`` hour stamps of archive ranges."""
-    return F.try_to_timestamp(_col(text), F.lit("yyyyMMdd'T'HH")).cast("timestamp_ntz")
+    """``yyyyMMddTHH`` hour stamps of archive ranges; malformed text is NULL."""
+    text = _col(text)
+    stamp = r"^([0-9]{4})([0-9]{2})([0-9]{2})T([0-9]{2})$"
+    iso = F.regexp_replace(text, stamp, "$1-$2-$3 $4:00:00")
+    return F.when(text.rlike(stamp), iso.try_cast("timestamp_ntz"))
 
 
 def day_text(c: Column | str) -> Column:

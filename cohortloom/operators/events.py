@@ -114,14 +114,18 @@ def project_events(
     property of that name, as properties are copied after them.
     """
     kept = scan_events(events, from_date, to_date, names, time_ms, "ms")
-    chosen = F.col("properties")
-    if output_properties is not None:
-        chosen = P.keep_props(chosen, output_properties)
+    listed = REQUIRED if output_properties is None else list(output_properties)
+    user, time = F.col("distinct_id"), T.query_time(time_ms, offset_hours)
+    if "distinct_id" in listed:
+        user = F.coalesce(P.prop_string("properties", "distinct_id"), user)
+    if "time" in listed:
+        time = F.coalesce(P.prop_number("properties", "time"), time)
+    if output_properties is None:
+        chosen = P.drop_props("properties", REQUIRED)
+    else:
+        chosen = P.keep_props("properties", [p for p in listed if p not in REQUIRED])
     return kept.select(
-        "event",
-        F.coalesce(P.prop_string(chosen, "distinct_id"), F.col("distinct_id")).alias("distinct_id"),
-        F.coalesce(P.prop_number(chosen, "time"), T.query_time(time_ms, offset_hours)).alias("time"),
-        P.drop_props(chosen, REQUIRED).alias("properties"),
+        "event", user.alias("distinct_id"), time.alias("time"), chosen.alias("properties")
     )
 
 

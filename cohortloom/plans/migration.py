@@ -182,8 +182,8 @@ def insert_id_clean(spark, sf_dir):
     f"""
 WITH {_RAW}, p AS (SELECT DISTINCT user_id FROM raw WHERE event_type <> 'error' AND user_id IS NOT NULL)
 SELECT 'events' AS part, event_type AS name, count(*) AS n FROM raw GROUP BY 2
-UNION ALL SELECT 'events', '$merge', count(*) FROM (SELECT DISTINCT user_id, amplitude_id FROM raw WHERE user_id <> '')
-UNION ALL SELECT 'profiles', 'new', count(*) FROM p WHERE user_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer)
+UNION ALL SELECT 'events', '$merge', count(*) FROM (SELECT DISTINCT user_id, amplitude_id FROM raw WHERE user_id <> '') HAVING count(*) > 0
+UNION ALL SELECT 'profiles', 'new', count(*) FROM p WHERE user_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) HAVING count(*) > 0
 UNION ALL SELECT 'profiles', 'stored', count(*) FROM customer
 """
 )

@@ -52,6 +52,6 @@ def classify(line: Column) -> Column:
 
 
 def detect_formats(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
-    """``path, format`` of every file under ``path``."""
+    """``path, format`` of every file under ``path`` that is not of zero length."""
     found = first_lines(spark, path, glob)
     return found.select("path", classify(F.col("first_line")).alias("format"))
