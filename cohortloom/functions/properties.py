@@ -204,9 +204,12 @@ def prop_timestamp(m: Column | str, name: str) -> Column:
 def overlay(base: Column | str, top: Column | str) -> Column:
     """Both maps as one; where they share a key ``top`` wins. NULL counts as empty."""
     base = F.coalesce(_col(base), empty_props())
-    top = F.coalesce(_col(top), empty_props())
-    rest = F.map_filter(base, lambda k, _: ~F.map_contains_key(top, k))
-    return F.map_concat(rest, top)
+
+    def onto(t: Column) -> Column:
+        return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(t, k)), t)
+
+    # Bound, as the filter would otherwise compute ``top`` once per key of ``base``.
+    return bind(F.coalesce(_col(top), empty_props()), onto)
 
 
 def overlay_all(*maps: Column | str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import predicates as Q
 from ..functions import properties as P
+from ..session import cut_lineage
 
 # Fixed value: property with the time a profile was last active.
 LAST_SEEN = "$last_seen"
@@ -79,13 +80,16 @@ def merged_properties(
     prop: str = "$email",
     case_sensitive: bool = False,
     order: str | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """``distinct_id`` of each keeper and its duplicates' properties, the newest winning.
 
     ``$last_seen`` is left out. One value per group and property is kept while
-    aggregating, never a list of profiles.
+    aggregating, never a list of profiles. ``kept`` is the result of
+    :func:`keepers` if it is at hand.
     """
-    kept = keepers(profiles, prop, case_sensitive, order)
+    if kept is None:
+        kept = keepers(profiles, prop, case_sensitive, order)
     # Profiles without a duplicate are keepers too, so they drop out here.
     losers = _keyed(profiles, prop, case_sensitive, order).join(
         kept.select(F.col("keeper_id").alias("distinct_id")), "distinct_id", "left_anti"
@@ -99,7 +103,9 @@ def merged_properties(
     maps = newest.groupBy("_match").agg(
         F.map_from_entries(F.collect_list(F.struct("name", "text"))).alias("value")
     )
-    return kept.where(F.col("n") > 1).join(maps, "_match").select(F.col("keeper_id").alias("distinct_id"), "value")
+    return kept.where(F.col("n") > 1).join(maps, "_match").select(
+        F.col("keeper_id").alias("distinct_id"), "value"
+    )
 
 
 def deduplicate(
@@ -117,12 +123,20 @@ def deduplicate(
     truthy, as when no list of profiles is given. ``order`` names a column
     that breaks ties of ``$last_seen`` (greater = later); the id breaks the rest.
     """
-    pool = profiles.where(Q.truthy("properties", prop)) if only_truthy else profiles
-    losing = duplicate_ids(pool, prop, case_sensitive, order)
-    left = profiles.join(losing, "distinct_id", "left_anti")
+    searched = match_value(prop, case_sensitive).isNotNull() & F.col("distinct_id").isNotNull()
+    if only_truthy:
+        searched = searched & Q.truthy("properties", prop)
+    pool = profiles.where(searched)
+    kept = keepers(pool, prop, case_sensitive, order)
+    if merge_props:
+        # Used three times: found once and written, one short row per match value.
+        kept = cut_lineage(kept, "keepers")
+    ids = kept.select(F.col("keeper_id").alias("distinct_id")).distinct()
+    flagged = profiles.join(ids.withColumn("_kept", F.lit(True)), "distinct_id", "left")
+    left = flagged.where(~searched | F.col("_kept").isNotNull())
     if not merge_props:
-        return left
-    merged = merged_properties(pool, prop, case_sensitive, order)
+        return left.select(*profiles.columns)
+    merged = merged_properties(pool, prop, case_sensitive, order, kept)
     joined = left.join(merged, "distinct_id", "left")
     filled = F.when(
         F.col("value").isNotNull(), P.set_once_props(F.col("properties"), F.col("value"))

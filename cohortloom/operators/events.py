@@ -85,12 +85,18 @@ def shape_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def raw_events(events: DataFrame) -> DataFrame:
-    """Shaped events back to ``event, properties``; a property of the same name wins."""
+def raw_events(events: DataFrame, *keep: str) -> DataFrame:
+    """Shaped events back to ``event, properties``; a property of the same name wins.
+
+    ``keep`` names further columns to carry along.
+    """
+    time_type = events.schema["time"].dataType
     envelope = P.props_from_columns(
-        {"distinct_id": ("distinct_id", "string"), "time": ("time", "bigint")}
+        {"distinct_id": ("distinct_id", "string"), "time": ("time", time_type)}
+    )
+    return events.select(
+        "event", P.overlay(envelope, "properties").alias("properties"), *keep
     )
-    return events.select("event", P.overlay(envelope, "properties").alias("properties"))
 
 
 def shift_to_utc(events: DataFrame, offset_hours: float) -> DataFrame:

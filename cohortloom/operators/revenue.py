@@ -19,7 +19,9 @@ def transaction_total(m: Column | str = "properties", strict: bool = True) -> Co
     (or with one that is not a number) and keeps what it has. ``strict=False``
     skips such transactions instead.
     """
-    items = F.from_json(P.prop(m, TRANSACTIONS), f"array<struct<`{AMOUNT}`: double>>")
+    # Cast from a variant, one odd element is NULL; from_json would drop the list.
+    listed = F.try_parse_json(P.prop(m, TRANSACTIONS))
+    items = F.try_variant_get(listed, "$", f"array<struct<`{AMOUNT}`: double>>")
     amounts = F.transform(items, lambda t: t[AMOUNT])
 
     def total(values: Column) -> Column:

@@ -20,7 +20,7 @@ from ..functions import times as T
 from ..operators import batches as BA
 from ..operators import events as E
 from ..operators import updates as U
-from ..session import scratch_path, ship_package
+from ..session import cut_lineage, scratch_path, ship_package
 from ..sinks import exports as X
 from ..sinks import imports as I
 from ..sources import archive, csv_files, detect, json_files, load, paged
@@ -57,9 +57,9 @@ def read_events_ndjson(spark, sf_dir):
     return _columns(E.shape_events(json_files.read_events(spark, path)))
 
 
-def _write_arrays(spark, sf_dir, path: str, per_file: int = 100_000) -> None:
+def _write_arrays(events: DataFrame, path: str, per_file: int = 100_000) -> None:
     """JSON arrays, a file each."""
-    items = X.event_json(keyed_events(spark, sf_dir)).withColumn(
+    items = X.event_json(events).withColumn(
         "event_id", F.get_json_object("value", "$.properties.event_id").cast("bigint")
     )
     numbered = BA.number_batches(items, ["event_id"], per_file)
@@ -70,7 +70,7 @@ def _write_arrays(spark, sf_dir, path: str, per_file: int = 100_000) -> None:
 @plan(_KEYED)
 def read_json_array(spark, sf_dir):
     path = scratch_path(spark, "array")
-    _write_arrays(spark, sf_dir, path)
+    _write_arrays(keyed_events(spark, sf_dir), path)
     raw = json_files.read_events(spark, path, whole_file=True)
     return _columns(E.shape_events(raw))
 
@@ -180,10 +180,10 @@ def detect_format(spark, sf_dir):
     """Formats found in a tree of five kinds of exports."""
     ship_package(spark)
     path = scratch_path(spark, "formats")
-    events = keyed_events(spark, sf_dir)
+    events = cut_lineage(keyed_events(spark, sf_dir))
     X.export_events(events, f"{path}/lines")
     X.export_events(events, f"{path}/packed", compress=True)
-    _write_arrays(spark, sf_dir, f"{path}/arrays")
+    _write_arrays(events, f"{path}/arrays")
     X.export_events(events, f"{path}/events_csv", "csv")
     X.export_profiles(D.customers(spark, sf_dir), f"{path}/profiles_csv", "csv")
     found = detect.detect_formats(spark, path).where(F.col("format") != detect.EMPTY)
@@ -200,9 +200,9 @@ def load_mixed_files(spark, sf_dir):
     """Lines, arrays and CSV side by side in one folder, loaded as one set of events."""
     ship_package(spark)
     path = scratch_path(spark, "mixed")
-    events = keyed_events(spark, sf_dir)
+    events = cut_lineage(keyed_events(spark, sf_dir))
     X.export_events(events, f"{path}/lines")
-    _write_arrays(spark, sf_dir, f"{path}/arrays")
+    _write_arrays(events, f"{path}/arrays")
     X.export_events(events, f"{path}/csv", "csv")
     raw = load.load_events(spark, path)
     return raw.groupBy("event").agg(

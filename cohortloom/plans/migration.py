@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..functions import times as T
 from ..operators import migration as M
 from ..operators import updates as U
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks.exports import long_form
 from ..sources import json_files
 from . import tables as D
@@ -190,7 +190,8 @@ UNION ALL SELECT 'profiles', 'stored', count(*) FROM customer
 def amplitude_load(spark, sf_dir):
     """One export into the tables: profiles merged into the stored ones, events written."""
     path = scratch_path(spark, "load")
-    parts = M.migrate(records(spark, sf_dir), _MERGE_TIME)
+    # Parsed once; profiles, events and merges are then read from the typed table.
+    parts = M.migrate(cut_lineage(records(spark, sf_dir), "records"), _MERGE_TIME)
     stored = D.customers(spark, sf_dir)
     U.update_from_rows(stored, parts["profiles"], U.SET, "properties").write.parquet(f"{path}/profiles")
     parts["events"].write.parquet(f"{path}/events")

@@ -4,22 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import properties as P
 from ..functions import times
 from ..operators.events import raw_events
 
 
-def event_json(events: DataFrame) -> DataFrame:
-    """Shaped events as one JSON object text each: column ``value``."""
-    raw = raw_events(events) if "distinct_id" in events.columns else events
+def event_json(events: DataFrame, *keep: str) -> DataFrame:
+    """Shaped or raw events as one JSON object text each: column ``value``, and ``keep``."""
+    raw = raw_events(events, *keep) if "distinct_id" in events.columns else events
     name = F.coalesce(P.json_text("event", "string"), F.lit("null"))
-    return raw.select(
-        F.concat(
-            F.lit('{"event":'), name, F.lit(',"properties":'), P.props_to_json("properties"), F.lit("}")
-        ).alias("value")
-    )
+    body = P.props_to_json("properties")
+    line = F.concat(F.lit('{"event":'), name, F.lit(',"properties":'), body, F.lit("}"))
+    return raw.select(*keep, line.alias("value"))
 
 
 def profile_json(profiles: DataFrame, id_col: str = "distinct_id") -> DataFrame:
@@ -118,20 +116,9 @@ def export_events_per_day(
 
     No shuffle: each task writes the days it holds.
     """
-    raw = events.withColumn("day", times.day_text(times.from_epoch_s("time")))
-    lines = raw.select("day", *_line(raw))
-    writer = lines.write.mode("append" if append else "errorifexists").partitionBy("day")
-    writer.option("compression", "gzip" if compress else "none").text(path)
-
-
-def _line(events: DataFrame) -> list[Column]:
-    envelope = P.props_from_columns(
-        {"distinct_id": ("distinct_id", "string"), "time": ("time", "bigint")}
-    )
-    body = P.props_to_json(P.overlay(envelope, "properties"))
-    name = F.coalesce(P.json_text("event", "string"), F.lit("null"))
-    line = F.concat(F.lit('{"event":'), name, F.lit(',"properties":'), body, F.lit("}"))
-    return [line.alias("value")]
+    dated = events.withColumn("day", times.day_text(times.from_epoch_s("time")))
+    writer = event_json(dated, "day").write.mode("append" if append else "errorifexists")
+    writer.partitionBy("day").option("compression", "gzip" if compress else "none").text(path)
 
 
 def copy_raw(spark, source: str, path: str) -> None:

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import properties as P
 from ..operators import events as E
 from ..operators import folding, updates as U
 from ..operators.groups import Groups
 from ..session import cut_lineage
 from .delivery import deliver
+from .exports import event_json
 
 
 def import_events(raw: DataFrame, token: str, offset_hours: float = 0) -> DataFrame:
@@ -52,11 +52,8 @@ def send_events(
 ) -> DataFrame:
     """Deliver prepared events in batches of JSON arrays; returns result rows."""
     ready = E.prepare_events(raw, token, offset_hours)
-    name = F.coalesce(P.json_text("event", "string"), F.lit("null"))
-    item = F.concat(
-        F.lit('{"event":'), name, F.lit(',"properties":'), P.props_to_json("properties"), F.lit("}")
-    )
-    return deliver(ready, item, order_by, send, results_path, encode=False)
+    lines = event_json(ready, *order_by)
+    return deliver(lines, "value", order_by, send, results_path, encode=False)
 
 
 def send_profiles(

@@ -17,6 +17,8 @@ from cohortloom.operators import revenue as R
         ({R.TRANSACTIONS: [{"$amount": 1}, {"x": 2}, {"$amount": 4}]}, 1, 5),
         ({R.TRANSACTIONS: [{"x": 2}, {"$amount": 4}]}, 0, 4),
         ({R.TRANSACTIONS: [{"$amount": 1}, {"$amount": None}, {"$amount": 4}]}, 1, 5),
+        ({R.TRANSACTIONS: [{"$amount": 1}, {"$amount": "z"}, 5, {"$amount": 4}]}, 1, 5),
+        ({R.TRANSACTIONS: "none"}, 0, 0),
     ],
 )
 def test_transaction_total(profiles_of, props, strict, loose):
