@@ -20,7 +20,7 @@ from ..functions import times as T
 from ..operators import batches as BA
 from ..operators import events as E
 from ..operators import updates as U
-from ..session import cut_lineage, scratch_path, ship_package
+from ..session import cut_lineage, scratch_path, ship_package, spread
 from ..sinks import exports as X
 from ..sinks import imports as I
 from ..sources import archive, csv_files, detect, json_files, load, paged
@@ -33,7 +33,7 @@ _KEYED = f"""SELECT event_id, event_type AS event, {D.UID} AS distinct_id, {D.EP
 
 def keyed_events(spark, sf_dir) -> DataFrame:
     """Shaped events that carry their id as a property, to tell rows apart in files."""
-    events = D.events(spark, sf_dir)
+    events = D.shaped(spread(D.table(spark, sf_dir, "events")))
     keyed = P.overlay("properties", P.props_from_columns({"event_id": ("event_id", "bigint")}))
     return events.select("event", "distinct_id", "time", keyed.alias("properties"))
 
@@ -117,7 +117,7 @@ WHERE text <> ''
 )
 def csv_cell_typing(spark, sf_dir):
     """Whole document texts, numbers, booleans and nested values through CSV and back."""
-    docs = D.table(spark, sf_dir, "documents").where(F.col("text") != "")
+    docs = spread(D.table(spark, sf_dir, "documents")).where(F.col("text") != "")
     profiles = docs.select(
         D.text_id("doc_id").alias("distinct_id"),
         P.props_from_columns(

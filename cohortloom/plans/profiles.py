@@ -12,6 +12,7 @@ from ..operators import folding
 from ..operators import revenue as R
 from ..operators import updates as U
 from ..operators.groups import Groups
+from ..session import spread
 from ..sinks import exports as X
 from ..sinks import imports as I
 from . import tables as D
@@ -469,7 +470,7 @@ UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'orders', n FROM o
 )
 def import_update_records(spark, sf_dir):
     """Every order as one raw record that sets, adds and unsets."""
-    records = D.table(spark, sf_dir, "orders").select(
+    records = spread(D.table(spark, sf_dir, "orders")).select(
         "o_orderkey",
         F.concat(
             F.lit('{"$token":"T1","$distinct_id":"'),
@@ -625,7 +626,7 @@ WHERE rn = 1 OR text = ''
 )
 def dedup_profiles(spark, sf_dir):
     """Documents as profiles whose text is the match property, over whole texts."""
-    docs = D.table(spark, sf_dir, "documents").select(
+    docs = spread(D.table(spark, sf_dir, "documents")).select(
         D.text_id("doc_id").alias("distinct_id"),
         P.props_from_columns({"text": ("text", "string"), "lang": ("lang", "string")}).alias(
             "properties"
@@ -675,7 +676,7 @@ def revenue_from_lists(spark, sf_dir):
         F.lit('[{"$amount":'), price.cast("string"), F.lit("},"), middle,
         F.lit(',{"$amount":'), quantity.cast("string"), F.lit("}]"),
     )
-    rows = D.table(spark, sf_dir, "lineitem").select(
+    rows = spread(D.table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         price.alias("price"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import properties as P
 from ..functions import times as T
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -154,7 +155,7 @@ def vendor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     pairs = [F.concat(F.lit(P.literal_text(n) + ":"), c) for n, c in fields.items()]
     body = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
-    return table(spark, sf_dir, "events").select(body.alias("record"), "event_id", "ts")
+    return spread(table(spark, sf_dir, "events")).select(body.alias("record"), "event_id", "ts")
 
 
 # ------------------------------------------------------------- the same in SQL

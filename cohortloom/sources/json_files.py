@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import properties as P
+from ..session import spread
 
 EVENT_JSON = "event string, properties map<string,variant>"
 PROFILE_JSON = "`$distinct_id` string, distinct_id string, `$properties` map<string,variant>"
@@ -47,4 +48,4 @@ def read_profiles(
 
 def read_records(spark: SparkSession, paths) -> DataFrame:
     """Lines of JSON objects as text in ``record`` (update records, raw exports)."""
-    return spark.read.text(paths).where(F.trim("value") != "").select(F.col("value").alias("record"))
+    return spread(spark.read.text(paths)).where(F.trim("value") != "").select(F.col("value").alias("record"))
