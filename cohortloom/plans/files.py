@@ -111,13 +111,16 @@ def csv_profiles(spark, sf_dir):
 
 @plan(
     """
-SELECT doc_id, 'string' AS kind, md5(text) AS text_md5, CAST(n_chars AS BIGINT) AS number, lang = 'en' AS flag FROM documents
-WHERE text <> ''
+SELECT doc_id, CASE WHEN text <> '' THEN 'string' ELSE 'other' END AS kind, md5(nullif(text, '')) AS text_md5,
+  CAST(n_chars AS BIGINT) AS number, lang = 'en' AS flag FROM documents
 """
 )
 def csv_cell_typing(spark, sf_dir):
-    """Whole document texts, numbers, booleans and nested values through CSV and back."""
-    docs = spread(D.table(spark, sf_dir, "documents")).where(F.col("text") != "")
+    """Whole document texts, numbers, booleans and nested values through CSV and back.
+
+    An empty text comes back as absent.
+    """
+    docs = spread(D.table(spark, sf_dir, "documents"))
     profiles = docs.select(
         D.text_id("doc_id").alias("distinct_id"),
         P.props_from_columns(
@@ -210,12 +213,16 @@ def load_mixed_files(spark, sf_dir):
     )
 
 
-@plan("SELECT md5(text) AS line_md5, count(*) AS n FROM conversations WHERE text NOT LIKE '%' || chr(10) || '%' AND text NOT LIKE '%' || chr(13) || '%' GROUP BY 1")
+@plan(
+    r"""
+SELECT md5(line) AS line_md5, count(*) AS n
+FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM conversations) GROUP BY 1
+"""
+)
 def raw_copy(spark, sf_dir):
-    """Lines copied unchanged (texts of one line each)."""
+    """All lines of all texts copied unchanged."""
     path = scratch_path(spark, "raw")
-    one_line = ~F.col("text").rlike("[\\n\\r]")
-    D.table(spark, sf_dir, "conversations").where(one_line).select("text").write.text(f"{path}/in")
+    D.table(spark, sf_dir, "conversations").select("text").write.text(f"{path}/in")
     X.copy_raw(spark, f"{path}/in", f"{path}/out")
     copied = spark.read.text(f"{path}/out")
     return copied.groupBy(F.md5("value").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"))

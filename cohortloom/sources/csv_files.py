@@ -9,18 +9,36 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import properties as P
 
 
+_SCALAR = (
+    r"^[ \t\r\n]*(-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)[ \t\r\n]*$"
+)
+_OPENING = r'^[ \t\r\n]*["\[{]'
+
+
+def is_json(cell: Column) -> Column:
+    """The whole text is one JSON value.
+
+    Spark's parser stops after the first value and ignores the rest, so
+    ``12 monkeys`` would pass for 12. Text put between brackets must be a list
+    of one, and put between braces a member: what follows the first value
+    cannot close both.
+    """
+    in_list = F.try_parse_json(F.concat(F.lit("["), cell, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), cell, F.lit("}")))
+    alone = F.size(F.try_variant_get(in_list, "$", "array<variant>")) == 1
+    return F.when(cell.rlike(_SCALAR), F.lit(True)).otherwise(
+        cell.rlike(_OPENING) & F.coalesce(alone & in_object.isNotNull(), F.lit(False))
+    )
+
+
 def cell_text(cell: Column | str) -> Column:
     """JSON text of a CSV cell: the JSON value if it parses, else a string.
 
     Empty is NULL (absent). ``NaN`` and ``Infinity`` are not JSON and stay strings.
     """
     cell = P._col(cell)
-    return F.when(
-        cell != "",
-        F.coalesce(
-            P.canonical(F.to_json(F.try_parse_json(cell))), P.quoted(cell)
-        ),
-    )
+    parsed = F.when(is_json(cell), P.canonical(F.to_json(F.try_parse_json(cell))))
+    return F.when(cell != "", F.coalesce(parsed, P.quoted(cell)))
 
 
 def props_from_cells(df: DataFrame, ignored: Iterable[str]) -> Column:

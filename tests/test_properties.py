@@ -76,6 +76,10 @@ def test_rename_collision_prefers_target_spelling(spark):
         ("", None), ("123", "123"), ("1.5", "1.5"), ("true", "true"), ("True", '"True"'),
         ("null", "null"), ("NaN", '"NaN"'), ('"q"', '"q"'), ('[1,"a"]', '[1,"a"]'),
         ('{"b":1}', '{"b":1}'), ("Albany", '"Albany"'), ("Infinity", '"Infinity"'),
+        ("12 monkeys", '"12 monkeys"'), ("1,2", '"1,2"'), ("[1] x", '"[1] x"'), ("[1]] x", '"[1]] x"'),
+        ("[1],[2]", '"[1],[2]"'), ('{"b":1} x', json.dumps('{"b":1} x')), ('"q" x', json.dumps('"q" x')),
+        ('{"b":1}} x', json.dumps('{"b":1}} x')), (" 5 ", "5"), ("007", '"007"'), ("1.50", "1.5"),
+        ("nullable", '"nullable"'), ("-", '"-"'), ("[", '"["'),
     ],
 )
 def test_csv_cell(spark, cell, expected):
