@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.exact_dedup import DigestIndex
 from cohortloom.llm.mixing import plan_mix, word_count
+from cohortloom.llm import toxicity
+from cohortloom.llm.token_files import read_token_files, write_token_files
 from cohortloom.llm.url_filter import judge_urls
 from cohortloom.llm.workspace import Workspace, read_table
 from cohortloom.session import scratch_path
@@ -28,6 +30,30 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: Folder of the public tokenizers; a session may name another.
+TOKENIZER_CONF = "spark.cohortloom.tokenizers"
+#: The id op1 appends to each document, as its contract fixes.
+END_ID = 2
+
+
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """Place of a vocabulary file, which must be the same on all nodes."""
+    folder = spark.conf.get(TOKENIZER_CONF, None)
+    if folder:
+        return f"{folder.rstrip('/')}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, and what is read back from them."""
+    with Workspace(spark, "tokens") as work:
+        path = tokenizer_path(spark, "word_bpe_49k.json")
+        return read_token_files(write_token_files(work, read_table(spark, sf_dir, "documents"), path, END_ID))
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -96,3 +122,21 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     with Workspace(spark, "urls") as work:
         return judge_urls(work, read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+#: What op5 learns from, and the score from which a document counts as toxic.
+TOXIC_LEARN_FROM = "crc32(cast(doc_id AS string)) % 3 <> 1"
+TOXIC_FROM = 0.7
+
+
+@query()
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    settings = toxicity.FtrlSettings()
+    model = toxicity.fit(toxicity.training_rows(docs, labels, TOXIC_LEARN_FROM, settings.max_rows), settings)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
+    )

@@ -61,5 +61,5 @@ class Workspace:
         self._cuts += 1
         return write_parquet(df, f"{self.path}/{self._cuts}")
 
-    def result(self, df: DataFrame) -> DataFrame:
-        return write_parquet(df, self.kept)
+    def result(self, df: DataFrame, name: str = "rows") -> DataFrame:
+        return write_parquet(df, f"{self.kept}/{name}")
