@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm.exact_dedup import DigestIndex
 from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import toxicity
+from cohortloom.llm.near_dedup import near_duplicates
 from cohortloom.llm.token_files import read_token_files, write_token_files
 from cohortloom.llm.url_filter import judge_urls
 from cohortloom.llm.workspace import Workspace, read_table
@@ -69,6 +70,37 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decisions.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
 
 
+@query(r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                                 WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+                                 ELSE list_transform(range(1, len(w) - 3),
+                                        lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS s
+  FROM split),
+sizes AS (SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN shingles USING (doc_id) GROUP BY d.doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+arcs AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, arcs.b FROM reach r JOIN arcs ON r.other = arcs.a)
+SELECT r.doc_id, any_value(n) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reach r JOIN sizes USING (doc_id) GROUP BY r.doc_id
+""")
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "near") as work:
+        return near_duplicates(work, read_table(spark, sf_dir, "documents"), percent=85)
+
+
 @query(r"""
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0
