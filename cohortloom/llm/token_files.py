@@ -16,10 +16,13 @@ the partition only, so a task that runs again replaces its own files.
 
 from __future__ import annotations
 
+import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortloom.llm.words import as_bytes
 from cohortloom.llm.workspace import Workspace, delete_path
 from cohortloom.session import ship_package
 
@@ -38,7 +42,9 @@ NULL_ID = -(2**63)
 BLOCK_IDS = 8192
 SHARD_IDS = 1 << 23
 _SLICE_BYTES = 1_000_000
-_CACHE_CHARS = 6_000_000
+_CACHE_BYTES = 16_000_000
+_JOINED = 500
+_MARKS = "!#$%&*+,-./:;=?@^_|~"
 _MANIFEST = "path string, partition int, shard int, n_ids long, n_docs long"
 
 
@@ -125,15 +131,17 @@ def write_shard(path: str, ids: np.ndarray, doc_ids: np.ndarray, lengths: np.nda
 
 
 class WordEncoder(dict):
-    """Ids of texts by a tokenizer that never joins what a space or newline parts.
+    """Ids of texts by a tokenizer that never joins what white space parts.
 
-    ``self`` maps a word to its place in ``starts``; the ids of all words lie in
-    one pool, from which those of a text are gathered in one step. Only words
-    not met before go through the tokenizer. ``is_splittable`` says whether a
-    tokenizer allows this; others encode whole texts.
+    ``self`` maps a word, as UTF-8, to its place in ``starts``; the ids of all
+    words lie in one pool, from which those of a text are gathered in one step.
+    Only words not met before go through the tokenizer, many at a time.
+    ``is_splittable`` says whether a tokenizer allows this; others encode whole texts.
     """
 
     def __init__(self, path: str):
+        # A task has one core; the library's own threads would take those of other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -143,41 +151,70 @@ class WordEncoder(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.new: list[str] = []
+        self.new: list[bytes] = []
         self.held = 0
         self.pool = np.empty(1 << 16, np.uint32)
         self.used = 0
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         code = self[word] = len(self)
         self.new.append(word)
         self.held += len(word) + 10
         return code
 
+    def _encode_parts(self, parts: list[str]) -> list[list[int]]:
+        """Ids of strings without white space: joined by spaces, then told apart by their offsets.
+
+        Strings whose length changes as they are normalised are encoded one by one.
+        """
+        odd = [i for i, p in enumerate(parts) if not p.isascii() and _changes_length(p)]
+        if odd:
+            rest = iter(self._encode_parts([p for p in parts if p.isascii() or not _changes_length(p)]))
+            alone = set(odd)
+            return [
+                self.tokenizer.encode(p, add_special_tokens=False).ids if i in alone else next(rest)
+                for i, p in enumerate(parts)
+            ]
+        found: list[list[int]] = []
+        for i in range(0, len(parts), _JOINED):
+            some = parts[i : i + _JOINED]
+            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            firsts = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.ids))
+            lengths = np.fromiter(map(len, some), np.int64, len(some))
+            cuts = np.searchsorted(firsts, np.cumsum(lengths + 1)[:-1]).tolist()
+            ids = encoding.ids
+            found += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+        return found
+
     def _learn(self) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False)]
+        parts: dict[str, int] = {}
+        cut = [_letters_and_marks(w.decode()) for w in self.new]
+        places = [[parts.setdefault(p, len(parts)) for p in ps] for ps in cut]
+        ids = self._encode_parts(list(parts))
+        found = [ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]] for ps in places]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         total = int(lengths.sum())
         while self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.pool[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
+        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.used += total
         self.new = []
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and how many each has."""
         if not self.splittable:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter((i for ids in found for i in ids), np.uint32, int(n.sum())), n
-        if self.held > _CACHE_CHARS:
+            whole = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            n = np.fromiter((len(e.ids) for e in whole), np.int64, len(whole))
+            return np.fromiter(chain.from_iterable(e.ids for e in whole), np.uint32, int(n.sum())), n
+        if self.held > _CACHE_BYTES:
             self.forget()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        # A-Z in lower case finds more words again; the marks of special tokens must stay as they are.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         words = np.fromiter(map(len, split), np.int64, len(split))
-        codes = np.fromiter((c for ws in split for c in map(self.__getitem__, ws)), np.int64, int(words.sum()))
+        codes = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(words.sum()))
         if self.new:
             self._learn()
         lengths = self.lengths[codes]
@@ -188,8 +225,20 @@ class WordEncoder(dict):
         return ids, total[last] - total[last - words]
 
 
+def _changes_length(text: str) -> bool:
+    return not unicodedata.is_normalized("NFC", text) or len(text.lower()) != len(text)
+
+
+def _letters_and_marks(word: str) -> tuple[str, ...]:
+    """A word and the punctuation after it, which is always a token of its own after a letter."""
+    letters = word.rstrip(_MARKS)
+    if 0 < len(letters) < len(word) and letters[-1].lower().isalpha():
+        return letters, word[len(letters) :]
+    return (word,)
+
+
 def is_splittable(tokenizer: object) -> bool:
-    """Whether the ids of a text are those of its parts between spaces and newlines.
+    """Whether the ids of a text are those of its parts between ASCII white space.
 
     True of tokenizers that make any white space one space, lower-case by
     character, and drop white space between the words they find.
@@ -203,7 +252,7 @@ def is_splittable(tokenizer: object) -> bool:
         steps == ["NFC", "Replace", "Lowercase"]
         and spec["normalizer"]["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
         and (words.get("type"), words.get("behavior"), words.get("invert")) == ("Split", "Removed", True)
-        and r"[^\s\p{L}\p{N}]+" in str(words.get("pattern"))
+        and r"[^\s\p{L}\p{N}]+" in words.get("pattern", {}).get("Regex", "")
         and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
     )
 
@@ -213,8 +262,8 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
-    """Runs of texts of about ``_SLICE_BYTES`` characters."""
+def _slices(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of about ``_SLICE_BYTES``."""
     first = held = 0
     for i, t in enumerate(texts):
         held += len(t)
@@ -268,7 +317,7 @@ def write_token_files(
 
         for batch in batches:
             keys = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-            texts = batch.column(1).fill_null("").to_pylist()
+            texts = as_bytes(batch.column(1).fill_null(""))
             for part in _slices(texts):
                 found, n = encoder.encode(texts[part])
                 ids.append(np.insert(found, np.cumsum(n), end_id).astype(np.uint16 if encoder.bits <= 16 else np.uint32))
