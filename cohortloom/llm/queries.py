@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.exact_dedup import DigestIndex
 from cohortloom.llm.mixing import plan_mix, word_count
-from cohortloom.llm import toxicity
+from cohortloom.llm import language_id, toxicity
+from cohortloom.llm.decontamination import find_contained
 from cohortloom.llm.near_dedup import near_duplicates
 from cohortloom.llm.token_files import read_token_files, write_token_files
 from cohortloom.llm.url_filter import judge_urls
@@ -55,6 +56,19 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return read_token_files(write_token_files(work, read_table(spark, sf_dir, "documents"), path, END_ID))
 
 
+#: What op2 learns from.
+LANGUAGE_LEARN_FROM = "crc32(cast(doc_id AS string)) % 4 <> 2"
+
+
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocabulary = read_table(spark, sf_dir, "documents"), tokenizer_path(spark, "piece_bpe_32k.model")
+    model = language_id.fit(docs, vocabulary, LANGUAGE_LEARN_FROM)
+    return language_id.predict(docs, model, vocabulary).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -172,3 +186,30 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query(r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', item_id, text FROM benchmark),
+split AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM texts),
+shingles AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) = 0 THEN []
+                                   WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+                                   ELSE list_transform(range(1, len(w) - 3),
+                                          lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS s
+  FROM split),
+items AS (SELECT id, count(*) AS n FROM shingles WHERE kind = 'i' GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM shingles d JOIN shingles i ON d.s = i.s WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n AS n_item
+FROM shared JOIN items ON item_id = items.id WHERE 100 * n_shared >= 80 * n
+""")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents contain at least four fifths of a benchmark item."""
+    with Workspace(spark, "leaks") as work:
+        return find_contained(work, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
