@@ -270,3 +270,17 @@ def near_duplicates(
             F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         )
     )
+
+
+def keep_one_per_group(
+    work: Workspace, docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id is the smallest of their group.
+
+    Of rows equal in id and text one stays; rows with a null id stay. The join
+    on ids already has what the removal of repeated rows needs together.
+    """
+    chosen = near_duplicates(work, docs, percent, id_col, text_col).filter("kept").select("doc_id").distinct()
+    named = docs.filter(F.col(id_col).isNotNull())
+    kept = named.join(chosen, named[id_col].cast("long") == chosen["doc_id"], "left_semi")
+    return kept.dropDuplicates([id_col, text_col]).unionByName(docs.filter(F.col(id_col).isNull()))

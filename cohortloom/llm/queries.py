@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm.exact_dedup import DigestIndex
+from cohortloom.llm.line_dedup import dedup_lines
 from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import language_id, toxicity
 from cohortloom.llm.decontamination import find_contained
@@ -115,6 +116,39 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return near_duplicates(work, read_table(spark, sf_dir, "documents"), percent=85)
 
 
+@query(r"""
+WITH lines AS (
+  SELECT doc_id, n AS line_no, l[n] AS line,
+         list_filter(string_split_regex(l[n], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+       unnest(range(1, len(l) + 1)) AS r(n)),
+firsts AS (SELECT w, min((doc_id, line_no)) AS place FROM lines WHERE len(w) > 0 GROUP BY w),
+variants AS (
+  SELECT w, place, i, list_concat(w[:i - 1], w[i + 1:]) AS v
+  FROM firsts, unnest(range(1, len(w) + 1)) AS r(i) WHERE len(w) >= 8),
+near AS (
+  SELECT a.w FROM variants a JOIN (SELECT v, i, min(place) AS p FROM variants GROUP BY v, i) b
+    ON a.v = b.v AND a.i = b.i WHERE b.p < a.place
+  UNION
+  SELECT a.w FROM variants a JOIN firsts f ON a.v = f.w AND len(f.w) >= 8 WHERE f.place < a.place
+  UNION
+  SELECT f.w FROM firsts f JOIN variants a ON a.v = f.w WHERE len(f.w) >= 8 AND a.place < f.place),
+judged AS (
+  SELECT l.*, len(l.w) = 0 OR ((l.doc_id, l.line_no) = f.place AND n.w IS NULL) AS stays
+  FROM lines l LEFT JOIN firsts f ON l.w = f.w LEFT JOIN near n ON l.w = n.w)
+SELECT d.doc_id, count(j.line) AS n_lines, count(*) FILTER (NOT j.stays) AS n_dropped,
+       sha256(coalesce(string_agg(j.line, chr(10) ORDER BY j.line_no) FILTER (j.stays), '')) AS kept_sha256
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id
+""")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that an earlier line repeats but for a word."""
+    with Workspace(spark, "lines") as work:
+        cleaned = dedup_lines(work, read_table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 @query(r"""
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0

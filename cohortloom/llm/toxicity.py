@@ -136,6 +136,36 @@ def fit(rows: DataFrame, settings: FtrlSettings = FtrlSettings()) -> Weights:
     return Weights(at[at >= 0], w[at >= 0], float(w[at < 0].sum()))
 
 
+class _Scorer:
+    def __init__(self, model: Weights):
+        self.bias = model.bias
+        self.weights = np.zeros(1 << FEATURE_BITS, np.float32)
+        self.weights[model.features] = model.weights
+        self.of = Features().of
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        logits = np.full(len(texts), self.bias)
+        for i, text in enumerate(texts):
+            at = self.of(text.as_py())
+            logits[i] += self.weights[np.unique(at[self.weights[at] != 0])].sum(dtype=np.float64)
+        return 1.0 / (1.0 + np.exp(-np.clip(logits, -35, 35)))
+
+
+def drop_toxic(docs: DataFrame, model: Weights, reject_from: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``reject_from``; nothing is shuffled."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _Scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column(at)) < reject_from))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def score(docs: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row ``id_col, score``: probability of label 1, from the whole text.
 
@@ -147,16 +177,9 @@ def score(docs: DataFrame, model: Weights, id_col: str = "doc_id", text_col: str
     shared = spark.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = np.zeros(1 << FEATURE_BITS, np.float32)
-        weights[shared.value.features] = shared.value.weights
-        of = Features().of
+        scorer = _Scorer(shared.value)
         for batch in batches:
-            logits = np.full(batch.num_rows, shared.value.bias)
-            for i, text in enumerate(batch.column(1)):
-                at = of(text.as_py())
-                logits[i] += weights[np.unique(at[weights[at] != 0])].sum(dtype=np.float64)
-            scores = 1.0 / (1.0 + np.exp(-np.clip(logits, -35, 35)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.scores(batch.column(1)))], [id_col, "score"])
 
     return docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col)).mapInArrow(
         task, f"{id_col} long, score double"
