@@ -13,6 +13,7 @@ from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import language_id, toxicity
 from cohortloom.llm.decontamination import find_contained
 from cohortloom.llm.near_dedup import near_duplicates
+from cohortloom.llm.substring_dedup import remove_repeats
 from cohortloom.llm.token_files import read_token_files, write_token_files
 from cohortloom.llm.url_filter import judge_urls
 from cohortloom.llm.workspace import Workspace, read_table
@@ -116,6 +117,12 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return near_duplicates(work, read_table(spark, sf_dir, "documents"), percent=85)
 
 
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "repeats") as work:
+        return remove_repeats(work, read_table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH lines AS (
   SELECT doc_id, n AS line_no, l[n] AS line,
