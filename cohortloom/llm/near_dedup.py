@@ -6,9 +6,12 @@
 2. Nodes that share a band key are candidates. Each node of such a bucket is first
    compared with the least node of the bucket only, so a bucket of ``n`` gives ``n`` pairs.
 3. The XOR of two odd sketches counts the samples in which they differ; pairs far
-   below the threshold go. The others are confirmed on the full sets of shingles.
+   below the threshold go. A second bitmap, the parity of the full set, does the
+   same without the error of sampling, for sets that do not saturate it.
+   The others are confirmed on the full sets of shingles.
 4. Components of the confirmed links. Buckets that lie within one component are
-   done: further links in them would join nothing.
+   done: further links in them would join nothing. Members of the others are
+   compared with another node of the bucket, two times more.
 5. The rest, buckets that meet several components, are compared in full, but for
    pairs within a component: in blocks of about 128 nodes, two blocks to a row,
    by their sketches; what passes is confirmed as before. So no link between
@@ -36,9 +39,16 @@ _WORDS_OF_SKETCH = SKETCH_BITS // 64
 #: How far below the threshold the estimate of a true link may lie: over 4.5 standard deviations.
 _SLACK = 0.15
 _BLOCK = 128
+#: Rounds in which buckets of several components are compared with another of their members.
+_STARS = 2
 _SEED = np.arange(1, SAMPLES + 1, dtype=np.uint64)
 _FACTOR = mix64(_SEED * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SHIFT = mix64(_SEED * np.uint64(0xD6E8FEB86659FD93))
+#: Bits of the parity bitmap of a full set, which follows the samples' in the sketch column.
+FULL_BITS = 2048
+_FULL_WORDS = FULL_BITS // 64
+#: Standard deviations that the bitmaps of full sets may be above their mean.
+_SIGMAS = 5.0
 _SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 
 
@@ -59,19 +69,36 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the (function, sample) pairs, as 64-bit integers."""
-    at = (mix64(samples + _SEED) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = (np.bincount(at, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+def _parity(hashes: np.ndarray, bits: int) -> np.ndarray:
+    odd = (np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view("<i8")
 
 
+def odd_sketch(samples: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Parity bitmaps, as 64-bit integers: of the (function, sample) pairs, then of the full set."""
+    return np.concatenate([_parity(mix64(samples + _SEED), SKETCH_BITS), _parity(shingles, FULL_BITS)])
+
+
 def most_differing_bits(percent: int) -> int:
     """Set bits of the XOR of two sketches above which their sets are no candidates."""
     differing = 2 * SAMPLES * (1 - max(0.0, percent / 100 - _SLACK))
     return int(SKETCH_BITS / 2 * (1 - (1 - 2 / SKETCH_BITS) ** differing)) + 1
 
 
+def most_full_bits(sizes: np.ndarray | Column, percent: int) -> np.ndarray | Column:
+    """Set bits of the XOR of two full bitmaps above which sets of ``sizes`` shingles in all are no candidates.
+
+    Sets at the threshold differ in ``n`` shingles. So many bits differ at most;
+    as ``n`` nears the size of the bitmap, flips meet and fewer differ, by the
+    mean and variance of ``n`` balls in as many boxes.
+    """
+    exp, sqrt, least = (F.exp, F.sqrt, F.least) if isinstance(sizes, Column) else (np.exp, np.sqrt, np.minimum)
+    n = sizes * ((100 - percent) / (100 + percent)) + 1e-6
+    mean = (1 - exp(n * (-2 / FULL_BITS))) * (FULL_BITS / 2)
+    lone = exp(n * (-4 / FULL_BITS))
+    return least(n, mean + sqrt((1 - lone) * (FULL_BITS / 4) - n * lone + 1) * _SIGMAS + 1)
+
+
 def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.empty(0), kind))
@@ -92,7 +119,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 samples = minhash(s) if len(s) else None
                 bands.append(none if samples is None else band_keys(samples))
-                sketches.append(none if samples is None else odd_sketch(samples))
+                sketches.append(none if samples is None else odd_sketch(samples, s))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -136,8 +163,24 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) ->
     )
 
 
-def _differing(x: Column, y: Column) -> Column:
-    return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(_WORDS_OF_SKETCH)), F.lit(0))
+def _differing(x: Column, y: Column, words: range) -> Column:
+    return sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in words), F.lit(0))
+
+
+_SAMPLE_PART, _FULL_PART = range(_WORDS_OF_SKETCH), range(_WORDS_OF_SKETCH, _WORDS_OF_SKETCH + _FULL_WORDS)
+
+
+def _close(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` those whose sketches allow the similarity."""
+    side = lambda name, n, out: nodes.select(F.col("node").alias(name), F.col("n_shingles").alias(n), F.col("sketch").alias(out))
+    return (
+        pairs.join(side("b", "nb", "sb"), "b")
+        .join(side("a", "na", "sa"), "a")
+        .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+        .filter(_differing(F.col("sa"), F.col("sb"), _SAMPLE_PART) <= most_differing_bits(percent))
+        .filter(_differing(F.col("sa"), F.col("sb"), _FULL_PART) <= most_full_bits(F.col("na") + F.col("nb"), percent))
+        .select("a", "b")
+    )
 
 
 def _confirm(
@@ -153,28 +196,28 @@ def _confirm(
     return work.cut(pairs.join(two, "b").join(one, "a").filter(100 * common >= percent * union).select("a", "b"))
 
 
-def _block_pairs(blocks: DataFrame, most_bits: int) -> DataFrame:
+def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of different components whose sketches are close, from two blocks a row."""
+    words = _WORDS_OF_SKETCH + _FULL_WORDS
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = most_differing_bits(percent)
         for batch in batches:
             for i in range(batch.num_rows):
                 side = []
                 for c in (0, 1):
                     members = batch.column(c)[i].values
                     sketch = members.field("sketch").flatten().to_numpy(zero_copy_only=False)
-                    side.append(
-                        (
-                            members.field("node").to_numpy(zero_copy_only=False),
-                            members.field("root").to_numpy(zero_copy_only=False),
-                            sketch.view(np.uint64).reshape(len(members), _WORDS_OF_SKETCH),
-                        )
-                    )
-                (na, ra, sa), (nb, rb, sb) = side
-                bits = np.zeros((len(na), len(nb)), np.uint16)
-                for w in range(_WORDS_OF_SKETCH):
+                    flat = [members.field(f).to_numpy(zero_copy_only=False) for f in ("node", "root", "n_shingles")]
+                    side.append((*flat, sketch.view(np.uint64).reshape(len(members), words)))
+                (na, ra, ka, sa), (nb, rb, kb, sb) = side
+                sample, full = (np.zeros((len(na), len(nb)), np.uint16) for _ in range(2))
+                for w in range(words):
+                    bits = sample if w < _WORDS_OF_SKETCH else full
                     bits += np.bitwise_count(sa[:, w, None] ^ sb[None, :, w])
-                x, y = np.nonzero((bits <= most_bits) & (ra[:, None] != rb[None, :]))
+                fits = (sample <= most) & (full <= most_full_bits(ka[:, None] + kb[None, :], percent))
+                fits &= 100 * np.minimum(ka[:, None], kb[None, :]) >= percent * np.maximum(ka[:, None], kb[None, :])
+                x, y = np.nonzero(fits & (ra[:, None] != rb[None, :]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(na[x], nb[y])), pa.array(np.maximum(na[x], nb[y]))], ["a", "b"]
                 )
@@ -182,25 +225,39 @@ def _block_pairs(blocks: DataFrame, most_bits: int) -> DataFrame:
     return blocks.mapInArrow(task, "a long, b long").distinct()
 
 
-def _rest_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, most_bits: int) -> DataFrame:
-    """Close pairs of different components within the buckets that meet several."""
+def _several_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, root`` of the buckets that meet more than one component."""
     rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    return rooted.join(several.select("key"), "key", "left_semi")
+
+
+def _star_pairs(members: DataFrame, salt: int) -> DataFrame:
+    """Per bucket the pairs of its members with one of them, of other components than its own."""
+    turn = F.xxhash64("node", "key", F.lit(salt))
+    center = members.groupBy("key").agg(F.min(F.struct(turn.alias("turn"), "node", "root")).alias("c"))
+    return (
+        members.join(center, "key")
+        .filter(F.col("root") != F.col("c.root"))
+        .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
+        .distinct()
+    )
+
+
+def _rest_pairs(rooted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Close pairs of different components within buckets that meet several."""
     per_root = rooted.groupBy("key", "root").agg(F.count("*").alias("n_root"))
     small = F.col("n_root") <= _BLOCK // 2
-    mixed = (
-        per_root.groupBy("key")
-        .agg(F.count("*").alias("n_roots"), F.sum(F.when(small, F.col("n_root")).otherwise(0)).alias("n_mixed"))
-        .filter("n_roots > 1")
-    )
+    mixed = per_root.groupBy("key").agg(F.sum(F.when(small, F.col("n_root")).otherwise(0)).alias("n_mixed"))
     deal = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / _BLOCK))
     block = F.when(small, deal(F.col("n_mixed"))).otherwise(F.xxhash64("root", deal(F.col("n_root"))))
     blocks = (
         rooted.join(per_root, ["key", "root"])
         .join(mixed, "key")
-        .join(nodes.select("node", "sketch"), "node")
+        .join(nodes.select("node", "n_shingles", "sketch"), "node")
         .groupBy("key", block.alias("block"))
         .agg(
-            F.collect_list(F.struct("node", "root", "sketch")).alias("members"),
+            F.collect_list(F.struct("node", "root", "n_shingles", "sketch")).alias("members"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
         )
@@ -210,7 +267,7 @@ def _rest_pairs(members: DataFrame, roots: DataFrame, nodes: DataFrame, most_bit
         (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
     )
     two = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block"))).filter(~one_component)
-    return _block_pairs(two.select(F.col("x.members").alias("one"), F.col("y.members").alias("two")), most_bits)
+    return _block_pairs(two.select(F.col("x.members").alias("one"), F.col("y.members").alias("two")), percent)
 
 
 def near_duplicates(
@@ -233,29 +290,34 @@ def near_duplicates(
     usable = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     nodes = work.cut(
         usable.groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.max("n_shingles").alias("n_shingles"),
+            F.any_value("bands").alias("bands"),
+            F.any_value("sketch").alias("sketch"),
+        )
         .withColumn("node", F.monotonically_increasing_id())
     )
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("n")).filter("n > 1")
-    members = work.cut(keyed.join(shared, "key"))
-    most_bits = most_differing_bits(percent)
+    members = work.cut(keyed.join(shared, "key").select("key", "node", "center"))
     stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    sketch = lambda name, out: nodes.select(F.col("node").alias(name), F.col("sketch").alias(out))
-    close = work.cut(
-        stars.join(sketch("b", "sb"), "b")
-        .join(sketch("a", "sa"), "a")
-        .filter(_differing(F.col("sa"), F.col("sb")) <= most_bits)
-        .select("a", "b")
-    )
-    links = _confirm(work, docs, nodes, close, percent, id_col, text_col)
+    tested = work.cut(_close(nodes, stars, percent))
+    links = _confirm(work, docs, nodes, tested, percent, id_col, text_col)
     roots = connected_components(work, links)
-    rest = work.cut(
-        _rest_pairs(members.select("key", "node"), roots, nodes, most_bits).join(close, ["a", "b"], "left_anti")
-    )
-    if not rest.isEmpty():
-        more = _confirm(work, docs, nodes, rest, percent, id_col, text_col)
-        roots = connected_components(work, more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+    for turn in range(_STARS + 1):
+        rooted = work.cut(_several_roots(members, roots))
+        if turn < _STARS:
+            pairs = _close(nodes, _star_pairs(rooted, turn), percent)
+        else:
+            pairs = _rest_pairs(rooted, nodes, percent)
+        fresh = work.cut(pairs.join(tested, ["a", "b"], "left_anti"))
+        if fresh.isEmpty():
+            continue
+        links = _confirm(work, docs, nodes, fresh, percent, id_col, text_col)
+        known = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        roots = connected_components(work, links.unionByName(known))
+        tested = tested.unionByName(fresh)
     rooted = nodes.join(roots, "node", "left").select("digest", "rep", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = work.cut(rooted.join(named, "root").select("digest", "component_id"))
