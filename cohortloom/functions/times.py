@@ -38,7 +38,7 @@ def _since_epoch(ts: Column | str) -> Column:
     # An interval of two zone-less times. timestampdiff() would go through the
     # session zone and be an hour off where its clocks skip one.
     gap = ntz(ts) - ntz(F.lit(_EPOCH))
-    return gap.cast("interval second").cast("decimal(20,6)")
+    return gap.cast("interval second").cast("decimal(18,6)")
 
 
 def epoch_ms(ts: Column | str) -> Column:

@@ -35,9 +35,10 @@ def event_counts_to_profiles(events: DataFrame, profiles: DataFrame) -> DataFram
     """Set ``{event name: count}`` on every profile that has events.
 
     A count map has one entry per event name of a user, never one per event.
+    Events without a name count for no property.
     """
     counts = (
-        count_per_user_event(events)
+        count_per_user_event(events.where(F.col("event").isNotNull()))
         .groupBy("distinct_id")
         .agg(
             F.map_from_entries(

@@ -24,6 +24,12 @@ def match_value(prop: str = "$email", case_sensitive: bool = False) -> Column:
     return text if case_sensitive else F.lower(text)
 
 
+def _match_key(value: Column) -> Column:
+    """A match value as a short key: long texts by their digest."""
+    digest = F.concat(F.lit("#"), F.sha2(value, 256))
+    return F.when(F.octet_length(value) > 64, digest).otherwise(F.concat(F.lit("="), value))
+
+
 def _recency(order: str | None) -> Column:
     """Later is greater: last seen (missing = before all), input order, id."""
     seen = F.coalesce(
@@ -38,7 +44,7 @@ def _keyed(profiles: DataFrame, prop: str, case_sensitive: bool, order: str | No
     """Profiles that have a match value, with how recent they are."""
     return profiles.select(
         "distinct_id",
-        match_value(prop, case_sensitive).alias("_match"),
+        _match_key(match_value(prop, case_sensitive)).alias("_match"),
         _recency(order).alias("_recency"),
         "properties",
     ).where(F.col("_match").isNotNull())
@@ -64,15 +70,21 @@ def duplicate_ids(
     order: str | None = None,
 ) -> DataFrame:
     """Ids to delete: those with a match value that are not their group's keeper."""
-    kept = keepers(profiles, prop, case_sensitive, order).select(
-        F.col("keeper_id").alias("distinct_id")
-    )
-    return (
-        profiles.where(match_value(prop, case_sensitive).isNotNull())
-        .select("distinct_id")
-        .join(kept, "distinct_id", "left_anti")
-        .distinct()
-    )
+    kept = keepers(profiles, prop, case_sensitive, order)
+    return _losers(profiles, prop, case_sensitive, order, kept).select("distinct_id").distinct()
+
+
+def _losers(
+    profiles: DataFrame, prop: str, case_sensitive: bool, order: str | None, kept: DataFrame
+) -> DataFrame:
+    """``distinct_id, _match, _recency`` of all but the keepers, from groups of several ids.
+
+    Most profiles match no other: they leave with their group's count, so the
+    joins that follow see the duplicates only.
+    """
+    groups = kept.where(F.col("n") > 1).select("_match", "keeper_id")
+    keyed = _keyed(profiles, prop, case_sensitive, order).drop("properties")
+    return keyed.join(groups, "_match").where(F.col("distinct_id") != F.col("keeper_id")).drop("keeper_id")
 
 
 def merged_properties(
@@ -90,9 +102,8 @@ def merged_properties(
     """
     if kept is None:
         kept = keepers(profiles, prop, case_sensitive, order)
-    # Profiles without a duplicate are keepers too, so they drop out here.
-    losers = _keyed(profiles, prop, case_sensitive, order).join(
-        kept.select(F.col("keeper_id").alias("distinct_id")), "distinct_id", "left_anti"
+    losers = _losers(profiles, prop, case_sensitive, order, kept).join(
+        profiles.select("distinct_id", "properties"), "distinct_id"
     )
     newest = (
         P.explode_props(losers, "_match", "_recency")
@@ -127,13 +138,10 @@ def deduplicate(
     if only_truthy:
         searched = searched & Q.truthy("properties", prop)
     pool = profiles.where(searched)
-    kept = keepers(pool, prop, case_sensitive, order)
-    if merge_props:
-        # Used three times: found once and written, one short row per match value.
-        kept = cut_lineage(kept, "keepers")
-    ids = kept.select(F.col("keeper_id").alias("distinct_id")).distinct()
-    flagged = profiles.join(ids.withColumn("_kept", F.lit(True)), "distinct_id", "left")
-    left = flagged.where(~searched | F.col("_kept").isNotNull())
+    # Groups of several ids only: found once and written, one short row per match value.
+    kept = cut_lineage(keepers(pool, prop, case_sensitive, order).where(F.col("n") > 1), "keepers")
+    losers = _losers(pool, prop, case_sensitive, order, kept).select("distinct_id")
+    left = profiles.join(losers, "distinct_id", "left_anti")
     if not merge_props:
         return left.select(*profiles.columns)
     merged = merged_properties(pool, prop, case_sensitive, order, kept)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +13,9 @@ from pyspark.sql import types as T
 # 10^12 rows have fewer than 500,000 of them.
 HOT_ROWS = 2_000_000
 
+# Shares of the rows without a key.
+_NULL_SHARES = 4096
+
 
 def hot_keys(many: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of shares to cut them into."""
@@ -24,12 +30,15 @@ def shares_of(counted: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) ->
     )
 
 
-def row_hash(df: DataFrame, skip: list[str]) -> Column:
-    """A hash of the row's other columns; maps are hashed by their entries."""
-    parts = [
-        F.map_entries(f.name) if isinstance(f.dataType, T.MapType) else F.col(f.name)
-        for f in df.schema.fields
-        if f.name not in skip and not isinstance(f.dataType, T.VariantType)
+def row_hash(df: DataFrame, skip: list[str], salt: list[str] | None = None) -> Column:
+    """A hash of the columns named in ``salt``, or of all narrow ones but ``skip``.
+
+    Maps, arrays and structs are left out: hashing them would make a scan read
+    and parse what the query may not need.
+    """
+    wide = (T.MapType, T.ArrayType, T.StructType, T.VariantType, T.BinaryType)
+    parts = salt or [
+        f.name for f in df.schema.fields if f.name not in skip and not isinstance(f.dataType, wide)
     ]
     return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
@@ -41,25 +50,29 @@ def lookup_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    salt: list[str] | None = None,
 ) -> DataFrame:
     """Join every row of ``many`` to its at most one row of ``one``.
 
     A key holding a large part of ``many`` would send all those rows to one
     task. Such keys are found by an exact count, their rows are dealt over
     several shares, and the matching row of ``one`` is repeated once per share.
-    Rows of other keys, and the result, are untouched.
+    Rows of other keys, and the result, are untouched. Rows with a NULL key
+    match nothing, so they are dealt over many shares whatever their number.
+    ``salt`` names the columns rows are dealt by, the narrow ones by default.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left: {how}")
     if hot is None:
         hot = hot_keys(many, keys, hot_rows)
-    # Bounded by rows / hot_rows (see above), so a broadcast is safe.
-    hot = F.broadcast(hot)
     # Dealt by content, so a task that runs again deals its rows the same way.
-    dealt = F.when(
-        F.col("_shares").isNotNull(),
-        F.pmod(row_hash(many, keys), F.col("_shares").cast("bigint")),
-    ).otherwise(F.lit(0))
+    place = row_hash(many, keys, salt)
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    dealt = (
+        F.when(no_key, F.pmod(place, F.lit(_NULL_SHARES)))
+        .when(F.col("_shares").isNotNull(), F.pmod(place, F.col("_shares").cast("bigint")))
+        .otherwise(F.lit(0))
+    )
     left = many.join(hot, keys, "left").withColumn("_share", dealt.cast("int")).drop("_shares")
     repeats = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1)
     right = one.join(hot, keys, "left").withColumn("_share", F.explode(repeats)).drop("_shares")
@@ -95,4 +108,5 @@ def join_profiles(
     right = profiles.select(
         "distinct_id", F.col("properties").alias("profile_properties")
     )
-    return lookup_join(events, right, ["distinct_id"], "inner", hot_rows=hot_rows)
+    salt = [c for c in ("time", "event") if c in events.columns]
+    return lookup_join(events, right, ["distinct_id"], "inner", hot_rows=hot_rows, salt=salt)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import properties as P
 from ..functions import times as T
-from ..functions.text import clean_insert_id, truthy_text
+from ..functions.text import clean_insert_id, first_truthy, is_truthy_json
 from .updates import latest_properties
 
 # Source field -> property name.
@@ -65,6 +65,10 @@ def parse_records(lines: DataFrame, column: str = "record") -> DataFrame:
     def text(name: str) -> Column:
         return F.try_variant_get(F.try_element_at("_r", F.lit(name)), "$", "string").alias(name)
 
+    def truthy(name: str) -> Column:
+        # Asked of the JSON text, in which the string "0" keeps its quotes.
+        return is_truthy_json(F.to_json(F.try_element_at("_r", F.lit(name)))).alias(f"has_{name}")
+
     def nested(name: str) -> Column:
         inner = F.try_variant_get(
             F.try_element_at("_r", F.lit(name)), "$", "map<string,variant>"
@@ -78,6 +82,9 @@ def parse_records(lines: DataFrame, column: str = "record") -> DataFrame:
         text("user_id"),
         text("device_id"),
         text("amplitude_id"),
+        truthy("user_id"),
+        truthy("device_id"),
+        truthy("amplitude_id"),
         F.to_json(F.try_element_at("_r", F.lit("ip_address"))).alias("ip_address"),
         F.to_json(F.try_element_at("_r", F.lit("country"))).alias("country"),
         nested("event_properties"),
@@ -106,13 +113,16 @@ def _text_or_null(c: Column) -> Column:
     return F.coalesce(P.json_text(c, "string"), F.lit("null"))
 
 
+_IDS = [(name, f"has_{name}") for name in ("user_id", "device_id", "amplitude_id")]
+
+
 def event_user() -> Column:
     """User id, else device id, else the vendor's own id."""
-    return truthy_text("user_id", "device_id", "amplitude_id")
+    return first_truthy(*_IDS)
 
 
 def transform_events(records: DataFrame, identity_v3: bool = False) -> DataFrame:
-    """Records to shaped events with ``time_ms``.
+    """Records to events of the model (``time`` in seconds), with ``time_ms`` beside it.
 
     Envelope properties first, then the record's event properties, then the
     renamed fields; the rightmost wins. ``identity_v3`` adds ``source`` and
@@ -124,12 +134,8 @@ def transform_events(records: DataFrame, identity_v3: bool = False) -> DataFrame
         "mp_country_code": F.coalesce("country", F.lit("null")),
     }
     if identity_v3:
-        user = truthy_text(
-            F.col("user_id"),
-            P.prop_string("user_properties", "user_id"),
-            F.col("device_id"),
-            F.col("amplitude_id"),
-        )
+        own = (P.prop_string("user_properties", "user_id"), is_truthy_json(P.prop("user_properties", "user_id")))
+        user = first_truthy(_IDS[0], own, *_IDS[1:])
         envelope["source"] = F.lit('"amplitude"')
         envelope["$user_id"] = _text_or_null(user)
     base = F.create_map(*[x for k, v in envelope.items() for x in (F.lit(k), v)])
@@ -139,6 +145,7 @@ def transform_events(records: DataFrame, identity_v3: bool = False) -> DataFrame
     return staged.select(
         F.col("event_type").alias("event"),
         event_user().alias("distinct_id"),
+        T.epoch_s(T.parse_export_time("event_time")).alias("time"),
         T.epoch_ms(T.parse_export_time("event_time")).alias("time_ms"),
         P.overlay_all(base, "event_properties", "_renamed").alias("properties"),
     )
@@ -164,7 +171,8 @@ def fold_profiles(profile_rows: DataFrame) -> DataFrame:
     """One profile per id: per property the value of the latest event wins.
 
     Values of the same moment are told apart by their text. Rows without an id
-    belong to no profile.
+    belong to no profile; an empty id, or the number 0, is an id like any other
+    here, as the source writes profiles by whatever the field holds.
     """
     return latest_properties(profile_rows, "time_ms")
 
@@ -174,10 +182,7 @@ def merge_pairs(records: DataFrame, distinct: bool = True) -> DataFrame:
 
     Over the whole input each pair comes once, unless ``distinct`` is off.
     """
-    both = F.coalesce(~F.col("user_id").isin("", "0"), F.lit(False)) & F.coalesce(
-        ~F.col("amplitude_id").isin("", "0"), F.lit(False)
-    )
-    pairs = records.where(both).select(
+    pairs = records.where(F.col("has_user_id") & F.col("has_amplitude_id")).select(
         F.col("user_id").alias("id_a"), F.col("amplitude_id").alias("id_b")
     )
     return pairs.dropDuplicates(["id_a", "id_b"]) if distinct else pairs
@@ -189,6 +194,7 @@ def merge_events(pairs: DataFrame, time_ms: int) -> DataFrame:
     return pairs.select(
         F.lit(MERGE_EVENT).alias("event"),
         F.lit("").alias("distinct_id"),
+        F.lit(time_ms // 1000).cast("bigint").alias("time"),
         F.lit(time_ms).cast("bigint").alias("time_ms"),
         F.create_map(F.lit("$distinct_ids"), ids).alias("properties"),
     )

@@ -10,7 +10,6 @@ from collections.abc import Mapping
 from typing import Any
 
 import pandas as pd
-import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,11 +19,11 @@ from ..functions import times as T
 from ..operators import batches as BA
 from ..operators import events as E
 from ..operators import updates as U
-from ..session import cut_lineage, scratch_path, ship_package, spread
+from ..session import cut_lineage, scratch_path, ship_package
 from ..sinks import exports as X
 from ..sinks import imports as I
 from ..sources import archive, csv_files, detect, json_files, load, paged
-from ..sources.files import create_file, open_file
+from ..sources.files import create_file, list_folder, open_file
 from . import tables as D
 from .registry import plan
 
@@ -33,7 +32,7 @@ _KEYED = f"""SELECT event_id, event_type AS event, {D.UID} AS distinct_id, {D.EP
 
 def keyed_events(spark, sf_dir) -> DataFrame:
     """Shaped events that carry their id as a property, to tell rows apart in files."""
-    events = D.shaped(spread(D.table(spark, sf_dir, "events")))
+    events = D.shaped(D.table(spark, sf_dir, "events"))
     keyed = P.overlay("properties", P.props_from_columns({"event_id": ("event_id", "bigint")}))
     return events.select("event", "distinct_id", "time", keyed.alias("properties"))
 
@@ -57,7 +56,7 @@ def read_events_ndjson(spark, sf_dir):
     return _columns(E.shape_events(json_files.read_events(spark, path)))
 
 
-def _write_arrays(events: DataFrame, path: str, per_file: int = 100_000) -> None:
+def _write_arrays(events: DataFrame, path: str, per_file: int = 2_000) -> None:
     """JSON arrays, a file each."""
     items = X.event_json(events).withColumn(
         "event_id", F.get_json_object("value", "$.properties.event_id").cast("bigint")
@@ -120,7 +119,7 @@ def csv_cell_typing(spark, sf_dir):
 
     An empty text comes back as absent.
     """
-    docs = spread(D.table(spark, sf_dir, "documents"))
+    docs = D.table(spark, sf_dir, "documents")
     profiles = docs.select(
         D.text_id("doc_id").alias("distinct_id"),
         P.props_from_columns(
@@ -381,28 +380,24 @@ def page_plan(spark, sf_dir):
     return paged.with_pages(totals, "n", 500).select("event", "page", "first_pos", "last_pos")
 
 
-def customer_pages(path: str, page_size: int):
-    """A page service over the customer file: one row group range per page."""
+def write_pages(profiles: DataFrame, path: str, page_size: int) -> int:
+    """Profiles as JSON pages, a folder each; returns how many profiles there are."""
+    item = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("$distinct_id"), F.struct(
+        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("$properties")))
+    numbered = BA.number_batches(profiles.select("c_custkey", item.alias("item")), ["c_custkey"], page_size, "page")
+    pages = BA.batch_payloads(numbered, "item", encode=False, batch="page")
+    pages.select("page", "payload").write.partitionBy("page").text(path)
+    return profiles.count()
+
+
+def page_service(path: str, page_size: int, total: int):
+    """A page service over written pages; each request reads its own page only."""
 
     def fetch(params: Mapping[str, Any]) -> Mapping[str, Any]:
-        with open_file(path) as raw:
-            file = pq.ParquetFile(raw)
-            total, page = file.metadata.num_rows, int(params.get("page", 0))
-            start, stop, at, rows = page * page_size, (page + 1) * page_size, 0, []
-            for group in range(file.num_row_groups):
-                size = file.metadata.row_group(group).num_rows
-                if at < stop and at + size > start:
-                    part = file.read_row_group(group, columns=["c_custkey", "c_name", "c_mktsegment"])
-                    low, high = max(start - at, 0), min(stop - at, size)
-                    rows += part.slice(low, high - low).to_pylist()
-                at += size
-        results = [
-            {
-                "$distinct_id": str(r["c_custkey"]),
-                "$properties": {"name": r["c_name"], "segment": r["c_mktsegment"]},
-            }
-            for r in rows
-        ]
+        page, results = int(params.get("page", 0)), []
+        for file in list_folder(f"{path}/page={page}") if total else []:
+            with open_file(file) as raw:
+                results += json.loads(raw.read())
         return {
             "results": results, "session_id": "s1", "page": page, "page_size": page_size, "total": total
         }
@@ -414,8 +409,9 @@ def customer_pages(path: str, page_size: int):
 def paged_profiles(spark, sf_dir):
     """All profiles through a paged source, one task per page."""
     ship_package(spark)
-    path = D.table(spark, sf_dir, "customer").select("_metadata.file_path").first()[0]
-    pages = paged.read_pages(spark, customer_pages(path.replace("file://", "file:"), 1000))
+    path = scratch_path(spark, "pages")
+    total = write_pages(D.table(spark, sf_dir, "customer"), path, 1000)
+    pages = paged.read_pages(spark, page_service(path, 1000, total))
     return X.long_form(paged.profiles_of_pages(pages), "distinct_id")
 
 

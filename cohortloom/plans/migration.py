@@ -20,12 +20,13 @@ _MERGE_TIME = 1706659200000
 # The raw records, said as columns.
 _RAW = f"""raw AS (
 SELECT event_id, event_type, user_id AS uid, {D.K} AS k, {D.EPOCH_MS} AS time_ms,
-  CASE WHEN user_id < 20 THEN NULL WHEN user_id > 120 THEN '' ELSE 'u' || CAST(user_id AS VARCHAR) END AS user_id,
+  CASE user_id % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '0' WHEN 3 THEN '0' ELSE 'u' || CAST(user_id AS VARCHAR) END AS user_id,
+  user_id % 10 NOT IN (0, 1, 3) AS has_user,
   CASE WHEN {D.K} < 30 THEN NULL ELSE 'd' || CAST({D.K} AS VARCHAR) END AS device_id,
   CAST(user_id + 1000 AS VARCHAR) AS amplitude_id,
   'ev' || CAST(event_id AS VARCHAR) || event_type AS insert_id FROM events)"""
 
-_WHO = "coalesce(nullif(user_id, ''), nullif(device_id, ''), amplitude_id)"
+_WHO = "coalesce(CASE WHEN has_user THEN user_id END, nullif(device_id, ''), amplitude_id)"
 
 
 def records(spark, sf_dir) -> DataFrame:
@@ -132,7 +133,7 @@ def amplitude_profiles(spark, sf_dir):
 @plan(
     f"""
 WITH {_RAW} SELECT user_id AS id_a, amplitude_id AS id_b, count(*) AS n FROM raw
-WHERE user_id <> '' GROUP BY 1, 2
+WHERE has_user GROUP BY 1, 2
 """
 )
 def amplitude_merges(spark, sf_dir):
@@ -144,7 +145,7 @@ def amplitude_merges(spark, sf_dir):
 @plan(
     f"""
 WITH {_RAW} SELECT DISTINCT '["' || user_id || '","' || amplitude_id || '"]' AS ids, CAST({_MERGE_TIME} AS BIGINT) AS time_ms,
-  '$merge' AS event, '' AS distinct_id FROM raw WHERE user_id <> ''
+  '$merge' AS event, '' AS distinct_id FROM raw WHERE has_user
 """
 )
 def merge_pairs_distinct(spark, sf_dir):
@@ -182,7 +183,7 @@ def insert_id_clean(spark, sf_dir):
     f"""
 WITH {_RAW}, p AS (SELECT DISTINCT user_id FROM raw WHERE event_type <> 'error' AND user_id IS NOT NULL)
 SELECT 'events' AS part, event_type AS name, count(*) AS n FROM raw GROUP BY 2
-UNION ALL SELECT 'events', '$merge', count(*) FROM (SELECT DISTINCT user_id, amplitude_id FROM raw WHERE user_id <> '') HAVING count(*) > 0
+UNION ALL SELECT 'events', '$merge', count(*) FROM (SELECT DISTINCT user_id, amplitude_id FROM raw WHERE has_user) HAVING count(*) > 0
 UNION ALL SELECT 'profiles', 'new', count(*) FROM p WHERE user_id NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer) HAVING count(*) > 0
 UNION ALL SELECT 'profiles', 'stored', count(*) FROM customer
 """

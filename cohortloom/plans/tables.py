@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import properties as P
 from ..functions import times as T
-from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,14 +115,17 @@ def raw_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vendor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events reshaped to the vendor's raw export, one JSON text per row in ``record``.
 
-    Users below 20 come without a user id, users above 120 with an empty one;
-    errors carry no user properties. Both insert-id spellings appear.
+    By the last digit of the user some come without a user id, with an empty one,
+    with the string "0" or the number 0; errors carry no user properties. Both
+    insert-id spellings appear.
     """
     k = F.get_json_object("props", "$.k").cast("bigint")
     uid = F.col("user_id")
     q = lambda c: P.json_text(c, "string")
-    user_id = F.when(uid < 20, F.lit("null")).when(uid > 120, F.lit('""')).otherwise(
-        q(F.concat(F.lit("u"), uid.cast("string")))
+    odd = {0: "null", 1: '""', 2: '"0"', 3: "0"}
+    user_id = F.coalesce(
+        *[F.when(uid % 10 == digit, F.lit(text)) for digit, text in odd.items()],
+        q(F.concat(F.lit("u"), uid.cast("string"))),
     )
     insert = F.concat(F.lit("ev:"), F.col("event_id").cast("string"), F.lit("_#"), F.col("event_type"))
     fields: dict[str, Column] = {
@@ -155,7 +157,7 @@ def vendor_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     pairs = [F.concat(F.lit(P.literal_text(n) + ":"), c) for n, c in fields.items()]
     body = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
-    return spread(table(spark, sf_dir, "events")).select(body.alias("record"), "event_id", "ts")
+    return table(spark, sf_dir, "events").select(body.alias("record"), "event_id", "ts")
 
 
 # ------------------------------------------------------------- the same in SQL

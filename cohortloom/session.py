@@ -45,18 +45,6 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with few splits over all cores, ahead of costly parsing.
-
-    One small or unsplittable file (gzip, one row group) would keep one core
-    busy and leave the rest idle. A scan with at least half as many splits as
-    there are cores, so any large table, comes back as it is, without a shuffle.
-    Only for plain scans: counting the splits of anything else would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() * 2 >= cores else scan.repartition(cores)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, for the few tasks that run Python.
 

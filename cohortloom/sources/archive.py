@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import list_files, open_file
+from .files import file_tasks, list_files, open_file
 
 _LINES_PER_BATCH = 5000
 
@@ -47,7 +47,8 @@ def read_zip_records(spark: SparkSession, path, glob: str = "*.zip") -> DataFram
     Members, not archives, are dealt over the tasks, and each is streamed, so
     one large archive neither fills a task's memory nor keeps one task busy alone.
     """
-    members = list_files(spark, path, glob).select("path").repartition("path").mapInPandas(
+    tasks = file_tasks(spark)
+    members = list_files(spark, path, glob).select("path").repartition(tasks, "path").mapInPandas(
         _members, "path string, member string"
     )
-    return members.repartition("path", "member").mapInPandas(_lines, "record string")
+    return members.repartition(tasks, "path", "member").mapInPandas(_lines, "record string")

@@ -17,6 +17,19 @@ def list_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     return reader.load(path).select("path", "length")
 
 
+def file_tasks(spark: SparkSession) -> int:
+    """Tasks over which files are dealt that Python opens: as many as a shuffle has."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def list_folder(path: str) -> list[str]:
+    """Paths of the data files of one folder, as :func:`open_file` takes them."""
+    store, inner = _locate(path)
+    found = store.get_file_info(fs.FileSelector(inner))
+    prefix = path[: len(path) - len(inner)] if path.endswith(inner) else ""
+    return sorted(prefix + f.path for f in found if f.is_file and f.size and f.base_name[0] not in "._")
+
+
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith(("file:", "/")):
         return fs.LocalFileSystem(), "/" + unquote(path.removeprefix("file:")).lstrip("/")
