@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import groupby
 
 import numpy as np
@@ -142,6 +143,15 @@ def _hash_at(text: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray
     return out
 
 
+def _word_hash(words: np.ndarray, at: np.ndarray, length: int, base: np.uint64) -> np.ndarray:
+    """Hash of ``length`` bytes from ``at`` on, eight at a time; the last eight may overlap those before."""
+    acc = np.full(len(at), base)
+    for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
+        acc = (acc ^ words[at + k]) * base
+        acc ^= acc >> np.uint64(32)
+    return mix64(acc)
+
+
 def _running(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
     """Least or greatest of each ``width`` neighbours, by doubling."""
     size, cur = 1, x
@@ -194,12 +204,27 @@ class Chunk:
     def row(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, "right")
 
-    def hashes(self, at: np.ndarray, span: range, base: np.uint64) -> np.ndarray:
-        row = self.row(at)
-        return _hash_at(self.text, at, self.starts[row], self.ends[row], span, base)
+    @cached_property
+    def words(self) -> np.ndarray:
+        """The eight bytes from each position, as an integer."""
+        w = np.concatenate([self.text, np.zeros(8, np.uint8)]).astype(np.uint64)
+        for size in (1, 2, 4):
+            w = w[:-size] | (w[size:] << np.uint64(8 * size))
+        return w
 
     def prefixes(self, at: np.ndarray) -> np.ndarray:
-        return self.hashes(at, range(PREFIX), _BASE) >> np.uint64(16)
+        return _word_hash(self.words, at, PREFIX, _BASE) >> np.uint64(16)
+
+    def contexts(self, at: np.ndarray) -> np.ndarray:
+        """Hash of the bytes around; those outside the document are told from any that are inside."""
+        row = self.row(at)
+        low, high = self.starts[row], self.ends[row]
+        inside = (at - SPAN + 1 >= low) & (at + WINDOW <= high)
+        out = np.empty(len(at), np.uint64)
+        out[inside] = _word_hash(self.words, at[inside] - SPAN + 1, SPAN - 1 + WINDOW, _CONTEXT_BASE)
+        cut = ~inside
+        out[cut] = _hash_at(self.text, at[cut], low[cut], high[cut], range(1 - SPAN, WINDOW), _CONTEXT_BASE)
+        return out
 
 
 def _least_by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -246,7 +271,7 @@ def _second_round(path: str, answers: list[tuple[int, bytes]], bits: int) -> lis
             repeated[part] = np.unpackbits(np.frombuffer(told[bucket], np.uint8), count=part.stop - part.start)
     used = repeated[np.searchsorted(keys, key)]
     at, key = chunk.at[used], key[used]
-    context = chunk.hashes(at, range(1 - SPAN, WINDOW), _CONTEXT_BASE)
+    context = chunk.contexts(at)
     doc = chunk.ids[chunk.row(at)]
     _save(f"{path}.contexts", at=at.astype(np.int32), key=key, context=context)
     rows: list[Message] = [(-1, path, b"")]
@@ -282,8 +307,9 @@ def _third_round(path: str, answers: list[tuple[int, bytes]], bits: int) -> list
     strings, check, doc = _strings(chunk, asked)
     rows: list[Message] = [(-1, path, b"")]
     first, least = _distinct_strings(strings, check, doc)[1:]
-    for bucket, part in _by_bucket(strings[first], 64, bits):
-        rows.append((bucket, path, _pack(strings[first][part], check[first][part], least[part])))
+    strings, check = strings[first], check[first]
+    for bucket, part in _by_bucket(strings, 64, bits):
+        rows.append((bucket, path, _pack(strings[part], check[part], least[part])))
     return rows
 
 
@@ -333,8 +359,8 @@ def _string_starts(chunk: Chunk, at: np.ndarray) -> np.ndarray:
 
 def _strings(chunk: Chunk, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """96 bits of hash of the strings at ``at``, and their documents."""
-    one = chunk.hashes(at, range(WINDOW), _STRING_BASE)
-    two = chunk.hashes(at, range(WINDOW), _CONTEXT_BASE) >> np.uint64(32)
+    one = _word_hash(chunk.words, at, WINDOW, _STRING_BASE)
+    two = _word_hash(chunk.words, at, WINDOW, _CONTEXT_BASE) >> np.uint64(32)
     return one, two.astype(np.uint32), chunk.ids[chunk.row(at)]
 
 
@@ -476,7 +502,7 @@ def remove_repeats(
     spark = docs.sparkSession
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(4, (8 * parts - 1).bit_length())
+    bits = max(4, (2 * parts - 1).bit_length())
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string"))
     answers = work.cut(_answer(_write_chunks(rows, f"{work.path}/chunks", bits, chunk_bytes), _shared_prefixes, bits, parts))
     asked = _to_chunks(answers, _second_round, _MESSAGE, bits, parts)
