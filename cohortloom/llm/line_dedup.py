@@ -11,6 +11,9 @@ an aggregate, and no pairs of a group are ever made.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +21,8 @@ from cohortloom.llm.workspace import Workspace
 
 #: Lines of fewer words are only dropped as exact copies.
 MIN_WORDS = 8
-_SPACE = r"[\x20\x09-\x0D]+"
-
-
-def line_words(line: Column) -> Column:
-    """Words of a line; none for a blank one."""
-    return F.filter(F.split(line, _SPACE), lambda w: w != "")
+#: What separates words: space and the ASCII controls from tab to carriage return.
+_SPACES = " \t\x0b\x0c\r\n"
 
 
 def _two_hashes(*parts: Column) -> tuple[Column, Column]:
@@ -31,47 +30,69 @@ def _two_hashes(*parts: Column) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.xxhash64(F.lit(7), *parts)
 
 
+def _is_full(line: Column) -> Column:
+    return F.length(F.trim(line, F.lit(_SPACES))) > 0
+
+
+def _spaced(line: Column) -> Column:
+    """The words of a line with one space between; most lines are that already."""
+    plain = ~reduce(or_, [F.contains(line, F.lit(c)) for c in ("  ", *_SPACES[1:])])
+    plain &= ~F.startswith(line, F.lit(" ")) & ~F.endswith(line, F.lit(" "))
+    return F.when(plain, line).otherwise(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
+
+
+def _word_count(line: Column) -> Column:
+    """One more than spaces; counted in bytes, without making an array of words."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
 def split_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, line_no, words``; a null text has no lines."""
+    """``doc_id, text_hash, line_no, line`` of the lines that are not blank; a null text has none."""
+    text = F.col(text_col)
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line")
-    ).select("doc_id", "line_no", line_words(F.col("line")).alias("words"))
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
+    ).filter(_is_full(F.col("line"))).withColumn("line", _spaced(F.col("line")))
 
 
-def _half_keys(words: Column) -> Column:
+def _half_keys(line: Column, n: Column) -> Column:
     """Keys of which two lines one word apart share one.
 
     The word in which they differ lies in the first or in the second half, so
     the other half is equal. A line takes its halves as they are, and as they
     would be with a word less.
     """
-    n = F.size(words)
     keys = []
     for less in (0, 1):
         size = n - less
         low = F.floor(size / 2).cast("int")
-        keys.append(F.xxhash64(F.lit(0), size, F.slice(words, F.lit(1), low)))
-        keys.append(F.xxhash64(F.lit(1), size, F.slice(words, n - (size - low) + 1, size - low)))
+        keys.append(F.xxhash64(F.lit(0), size, _ends(line, low)))
+        keys.append(F.xxhash64(F.lit(1), size, _ends(line, -(size - low))))
     return F.array(*keys)
 
 
+def _ends(line: Column, words: Column) -> Column:
+    """The first words of a line, or the last if ``words`` is negative."""
+    return F.call_function("substring_index", line, F.lit(" "), words)
+
+
 def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``h1, h2`` of the distinct lines that have an earlier line one word apart."""
-    keyed = firsts.filter("half_keys IS NOT NULL").select("h1", "h2", F.explode(F.array_distinct("half_keys")).alias("half"))
+    keyed = firsts.filter("half_keys IS NOT NULL").select("h1", "h2", F.explode("half_keys").alias("half"))
     shared = keyed.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     likely = work.cut(keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct())
-    h1, h2 = _two_hashes(F.col("words"))
-    texts = (
+    h1, h2 = _two_hashes(F.col("line"))
+    own = firsts.join(likely, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
+    lines = work.cut(
         split_lines(docs, id_col, text_col)
-        .filter(F.size("words") >= MIN_WORDS)
-        .select("words", h1.alias("h1"), h2.alias("h2"), F.struct("doc_id", "line_no").alias("own"))
-        .join(likely, ["h1", "h2"], "left_semi")
-        .join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
-        .filter(F.col("own") == F.col("first"))
-        .select("h1", "h2", "first", "words")
+        .filter(_word_count(F.col("line")) >= MIN_WORDS)
+        .select("line", h1.alias("h1"), h2.alias("h2"), F.struct("doc_id", "line_no", "text_hash").alias("place"))
+        .join(own, ["h1", "h2"])
+        .filter(F.col("place") == F.col("first"))
         .dropDuplicates(["h1", "h2"])
+        .select("h1", "h2", "first", F.split("line", " ").alias("words"))
     )
-    lines = work.cut(texts)
     n = F.size("words")
     without = lambda i: F.concat(
         F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n - i)
@@ -79,7 +100,9 @@ def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str
     variant = lambda i: F.struct(
         *[h.alias(name) for h, name in zip(_two_hashes(without(i)), ("v1", "v2"))], i.alias("left_out")
     )
-    whole = F.struct(F.col("h1").alias("v1"), F.col("h2").alias("v2"), F.lit(0).alias("left_out"))
+    whole = F.struct(
+        *[h.alias(name) for h, name in zip(_two_hashes(F.col("words")), ("v1", "v2"))], F.lit(0).alias("left_out")
+    )
     neighbours = lines.select(
         "h1",
         "h2",
@@ -128,18 +151,17 @@ def within_one_word(x: Column, y: Column) -> Column:
     return (head == 0) | ((longer - shorter <= 1) & ((head - 1) + (tail - 1) >= longer - 1))
 
 
-def dedup_lines(
-    work: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def dedup_lines(work: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, kept_text``.
 
-    Lines are what ``\\n`` parts; words what ASCII white space parts. A line goes
-    if an earlier one, by (id, number of the line), has the same words, or, of
-    lines of ``MIN_WORDS`` words or more, is one word apart. Lines are judged on the input,
-    not on what is left. Blank lines stay. The rest is joined by ``\\n``. A null
-    text has no lines and stays null. Rows that repeat an id are judged line by
-    line: of equal lines at one place in both, both stay. Rows without an id stay
-    as they are and count for no other. Other columns of ``docs`` are not read.
+    Lines are what ``\\n`` parts, words what ASCII white space parts. A line goes if
+    an earlier one, by (id, number of the line), has the same words, or, of lines of
+    ``MIN_WORDS`` words or more, is one word apart. Lines are judged on the input, not on
+    what is left. Lines without words stay. What stays is joined
+    by ``\\n``. A null text has no lines and stays null. Rows that repeat id and
+    text are judged alike; of rows that share the id only, equal lines at one
+    place stay in one. Rows without an id stay as they are and count for no
+    other. Other columns of ``docs`` are not read.
 
     Lines that cannot be one word apart from any other, as they share no half
     with one, take no part in the deletion join; nothing is lost by that.
@@ -147,48 +169,49 @@ def dedup_lines(
     first aggregation, and one row in all that follows.
     """
     named = docs.filter(F.col(id_col).isNotNull())
-    h1, h2 = _two_hashes(F.col("words"))
+    h1, h2 = _two_hashes(F.col("line"))
+    n = _word_count(F.col("line"))
     firsts = work.cut(
         split_lines(named, id_col, text_col)
-        .filter(F.size("words") > 0)
         .select(
             h1.alias("h1"),
             h2.alias("h2"),
-            F.struct("doc_id", "line_no").alias("place"),
-            F.when(F.size("words") >= MIN_WORDS, _half_keys(F.col("words"))).alias("half_keys"),
+            F.struct("doc_id", "line_no", "text_hash").alias("place"),
+            F.when(n >= MIN_WORDS, _half_keys(F.col("line"), n)).alias("half_keys"),
         )
         .groupBy("h1", "h2")
         .agg(F.min("place").alias("first"), F.any_value("half_keys").alias("half_keys"))
     )
     near = work.cut(_near_lines(work, named, firsts, id_col, text_col))
-    kept = (
+    # The lines that stay, as bits: one integer for 64 lines of a text.
+    bits = (
         firsts.join(near, ["h1", "h2"], "left_anti")
-        .select("first.doc_id", "first.line_no", "h1", "h2", F.lit(True).alias("stays"))
-        .repartition("doc_id")
+        .select("first.*")
+        .groupBy("doc_id", "text_hash", F.floor(F.col("line_no") / 64).cast("int").alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, line_no % 64)")).alias("bits"))
+        .groupBy("doc_id", "text_hash")
+        .agg(F.map_from_entries(F.collect_list(F.struct("at", "bits"))).alias("by_at"), F.max("at").alias("last"))
+        .select(
+            "doc_id",
+            "text_hash",
+            F.transform(F.sequence(F.lit(0), "last"), lambda i: F.coalesce(F.try_element_at("by_at", i), F.lit(0))).alias("bits"),
+        )
     )
-    rows = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .repartition("doc_id")
-        .withColumn("row", F.monotonically_increasing_id())
-        .select("doc_id", "row", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-        .withColumn("words", line_words(F.col("line")))
-        .select("doc_id", "row", "line_no", "line", h1.alias("h1"), h2.alias("h2"), (F.size("words") > 0).alias("full"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
     )
-    judged = rows.join(kept, ["doc_id", "line_no", "h1", "h2"], "left").withColumn(
-        "stays", F.col("stays").isNotNull() | ~F.col("full") | F.col("doc_id").isNull()
+    word = lambda i: F.coalesce(F.get("bits", F.floor(i / 64).cast("int")), F.lit(0))
+    stays = lambda line, i: (
+        F.col("doc_id").isNull() | ~_is_full(line) | (F.getbit(word(i), i % 64) == 1)
     )
-    lines = F.sort_array(F.collect_list(F.when(F.col("stays") & F.col("line").isNotNull(), F.struct("line_no", "line"))))
     return work.result(
-        judged.groupBy("doc_id", "row")
-        .agg(
-            F.count("line").alias("n_lines"),
-            F.sum(F.when(F.col("stays") | F.col("line").isNull(), 0).otherwise(1)).alias("n_dropped"),
-            lines.alias("lines"),
-        )
+        texts.join(bits, ["doc_id", "text_hash"], "left")
+        .withColumn("lines", F.split("text", "\n"))
+        .withColumn("kept", F.filter("lines", stays))
         .select(
             "doc_id",
-            "n_lines",
-            "n_dropped",
-            F.when(F.col("n_lines") > 0, F.array_join("lines.line", "\n")).alias("kept_text"),
+            F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"),
+            F.array_join("kept", "\n").alias("kept_text"),
         )
     )
