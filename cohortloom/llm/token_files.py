@@ -147,6 +147,9 @@ class WordEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = id_bits(self.tokenizer.get_vocab_size())
         self.splittable = is_splittable(self.tokenizer)
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.word_ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -164,29 +167,43 @@ class WordEncoder(dict):
         return code
 
     def _encode_parts(self, parts: list[str]) -> list[list[int]]:
-        """Ids of strings without white space: joined by spaces, then told apart by their offsets.
+        """Ids of strings without white space.
 
-        Strings whose length changes as they are normalised are encoded one by one.
+        Strings of letters are each one word to the tokenizer, whose last id has
+        the mark of a word's end: many go through it at once and are told apart by
+        that. Other strings are told apart by the offsets of their ids, and those
+        whose length changes as they are normalised are encoded one by one.
         """
-        odd = [i for i, p in enumerate(parts) if not p.isascii() and _changes_length(p)]
-        if odd:
-            rest = iter(self._encode_parts([p for p in parts if p.isascii() or not _changes_length(p)]))
-            alone = set(odd)
-            return [
-                self.tokenizer.encode(p, add_special_tokens=False).ids if i in alone else next(rest)
-                for i, p in enumerate(parts)
-            ]
-        found: list[list[int]] = []
-        for i in range(0, len(parts), _JOINED):
-            some = parts[i : i + _JOINED]
-            encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            firsts = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.ids))
-            lengths = np.fromiter(map(len, some), np.int64, len(some))
-            cuts = np.searchsorted(firsts, np.cumsum(lengths + 1)[:-1]).tolist()
-            ids = encoding.ids
-            found += [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+        found: list[list[int]] = [[]] * len(parts)
+        kinds: tuple[list[int], ...] = ([], [], [])
+        marked = bool(self.word_ends.any())
+        for i, p in enumerate(parts):
+            steady = p.isascii() or not _changes_length(p)
+            kinds[2 if not steady else 0 if marked and p.isalpha() and p.lower().isalpha() else 1].append(i)
+        for i in kinds[2]:
+            found[i] = self.tokenizer.encode(parts[i], add_special_tokens=False).ids
+        for kind, tell_apart in ((kinds[0], self._by_word_ends), (kinds[1], self._by_offsets)):
+            for k in range(0, len(kind), _JOINED):
+                places = kind[k : k + _JOINED]
+                for i, ids in zip(places, tell_apart([parts[i] for i in places])):
+                    found[i] = ids
         return found
 
+    def _by_word_ends(self, words: list[str]) -> list[list[int]]:
+        ids = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        cuts = (np.flatnonzero(self.word_ends[ids]) + 1).tolist()
+        if len(cuts) != len(words):
+            return self._by_offsets(words)
+        return [ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts)]
+
+    def _by_offsets(self, parts: list[str]) -> list[list[int]]:
+        encoding = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ids = encoding.ids
+        firsts = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(ids))
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        cuts = np.searchsorted(firsts, np.cumsum(lengths + 1)[:-1]).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], [*cuts, len(ids)])]
+
     def _learn(self) -> None:
         parts: dict[str, int] = {}
         cut = [_letters_and_marks(w.decode()) for w in self.new]
