@@ -329,10 +329,12 @@ def _envelope(df: DataFrame, fields: Mapping[str, Column]) -> Column:
 def read_update_records(records: DataFrame, column: str = "record", order: str | None = None) -> DataFrame:
     """Raw update records (JSON text) to ``distinct_id, seq, op, payload`` rows.
 
-    A record may carry several operations; they share its position. ``$unset``
-    takes a list of names, ``$delete`` has no payload.
+    A record may carry several operations: they are applied in the order of
+    ``OPERATIONS``, all before those of the next position. ``$unset`` takes a
+    list of names, ``$delete`` has no payload.
     """
-    seq = F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")
+    seq = (F.col(order).cast("bigint") if order else F.lit(0).cast("bigint")) * len(OPERATIONS)
+    rank = F.array_position(F.array(*[F.lit(op) for op in OPERATIONS]), F.col("op")) - 1
     fields = F.from_json(column, "map<string,variant>")
     parsed = records.select(seq.alias("seq"), fields.alias("_f"))
     ops = F.filter(F.map_keys("_f"), lambda k: k.isin(*OPERATIONS))
@@ -349,7 +351,7 @@ def read_update_records(records: DataFrame, column: str = "record", order: str |
         .where(F.col("op").isNotNull())
         .select(
             F.coalesce(text("$distinct_id"), text("distinct_id")).alias("distinct_id"),
-            "seq",
+            (F.col("seq") + rank).alias("seq"),
             "op",
             F.when(F.col("op") == UNSET, dropped)
             .when(F.col("op") != DELETE, payload)

@@ -108,6 +108,47 @@ def csv_profiles(spark, sf_dir):
     return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
 
 
+@plan(f"SELECT group_id AS distinct_id, key, value FROM ({D.GROUP_PROPS}) WHERE group_type = 'suppliers'")
+def csv_groups(spark, sf_dir):
+    """Group profiles of one type as CSV, read back by their ids."""
+    path = scratch_path(spark, "csv-groups")
+    suppliers = D.groups(spark, sf_dir).where(F.col("group_type") == "suppliers")
+    X.export_profiles(suppliers, path, "csv", id_col="group_id")
+    return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
+
+
+@plan(
+    f"""
+SELECT event_type AS event, {D.UID} AS distinct_id, {D.EPOCH_S} AS time, event_id FROM events
+"""
+)
+def csv_time_converter(spark, sf_dir):
+    """CSV events whose times are milliseconds, converted as they are read."""
+    path = scratch_path(spark, "csv-times")
+    events = D.events(spark, sf_dir)
+    X.write_csv(events.select("event", "distinct_id", F.col("time_ms").alias("time"), "event_id"), path)
+    read = csv_files.read_events(spark, path, time_converter=lambda c: F.floor(c.cast("bigint") / 1000))
+    return read.select("event", "distinct_id", "time", P.prop_bigint("properties", "event_id").alias("event_id"))
+
+
+@plan(
+    f"""
+SELECT event_type AS event, {D.UID} AS distinct_id, CAST({D.K} AS BIGINT) AS k FROM events
+WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-16'
+"""
+)
+def export_projection(spark, sf_dir):
+    """The query projection of some days, exported as JSON lines and read back."""
+    path = scratch_path(spark, "projection")
+    X.export_events(E.project_events(D.events(spark, sf_dir), "2024-01-05", "2024-01-15"), path, compress=True)
+    read = json_files.read_events(spark, path)
+    return read.select(
+        "event",
+        P.prop_string("properties", "distinct_id").alias("distinct_id"),
+        P.prop_bigint("properties", "k").alias("k"),
+    )
+
+
 @plan(
     """
 SELECT doc_id, CASE WHEN text <> '' THEN 'string' ELSE 'other' END AS kind, md5(nullif(text, '')) AS text_md5,
@@ -215,7 +256,7 @@ def load_mixed_files(spark, sf_dir):
 @plan(
     r"""
 SELECT md5(line) AS line_md5, count(*) AS n
-FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\n|\r')) AS line FROM conversations) GROUP BY 1
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM conversations) GROUP BY 1
 """
 )
 def raw_copy(spark, sf_dir):
@@ -223,7 +264,7 @@ def raw_copy(spark, sf_dir):
     path = scratch_path(spark, "raw")
     D.table(spark, sf_dir, "conversations").select("text").write.text(f"{path}/in")
     X.copy_raw(spark, f"{path}/in", f"{path}/out")
-    copied = spark.read.text(f"{path}/out")
+    copied = spark.read.option("lineSep", "\n").text(f"{path}/out")
     return copied.groupBy(F.md5("value").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -10,7 +10,8 @@ from ..functions import times as T
 from ..operators import migration as M
 from ..operators import updates as U
 from ..session import cut_lineage, scratch_path
-from ..sinks.exports import long_form
+from ..operators.events import shape_events
+from ..sinks.exports import export_events, long_form
 from ..sources import json_files
 from . import tables as D
 from .registry import plan
@@ -204,3 +205,19 @@ def amplitude_load(spark, sf_dir):
         F.lit("profiles").alias("part"), F.when(old, "stored").otherwise("new").alias("name")
     ).agg(F.count(F.lit(1)).alias("n"))
     return events.unionByName(profiles)
+
+
+@plan(
+    f"""
+WITH {_RAW}
+SELECT event_type AS event, {_WHO} AS distinct_id, time_ms // 1000 AS time, count(*) AS n FROM raw GROUP BY 1, 2, 3
+UNION ALL SELECT '$merge', '', CAST({_MERGE_TIME} // 1000 AS BIGINT), count(*) FROM raw WHERE has_user HAVING count(*) > 0
+"""
+)
+def amplitude_load_v3(spark, sf_dir):
+    """Events and repeated merges of one export, written by the event export and read back."""
+    path = scratch_path(spark, "load-v3")
+    parts = M.migrate(cut_lineage(records(spark, sf_dir), "records"), _MERGE_TIME, identity_v3=True)
+    export_events(parts["events"], path, compress=True)
+    read = shape_events(json_files.read_events(spark, path))
+    return read.groupBy("event", "distinct_id", "time").agg(F.count(F.lit(1)).alias("n"))

@@ -691,3 +691,19 @@ def revenue_from_lists(spark, sf_dir):
         P.prop_number("properties", R.REVENUE).alias("stopped"),
         R.transaction_total("properties", strict=False).alias("skipped"),
     )
+
+
+@plan(
+    f"""
+SELECT * FROM ({D.CUSTOMER_PROPS})
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'label', '"' || c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR) || '"' FROM customer
+"""
+)
+def value_function(spark, sf_dir):
+    """A property computed for each profile by a function of the profiles."""
+
+    def label(profiles: DataFrame):
+        text = F.concat_ws("-", P.prop_string("properties", "segment"), P.prop_string("properties", "nation"))
+        return F.create_map(F.lit("label"), P.json_text(text, "string"))
+
+    return X.long_form(U.update(D.customers(spark, sf_dir), U.SET, label), "distinct_id")

@@ -122,8 +122,13 @@ def export_events_per_day(
 
 
 def copy_raw(spark, source: str, path: str) -> None:
-    """Lines copied unchanged, whatever they hold."""
-    spark.read.text(source).write.mode("errorifexists").text(path)
+    """Lines copied unchanged, whatever they hold.
+
+    Only a newline ends a line, so carriage returns stay where they are. A last
+    line without a newline gets one.
+    """
+    lines = spark.read.option("lineSep", "\n").text(source)
+    lines.write.mode("errorifexists").option("lineSep", "\n").text(path)
 
 
 def backup(targets: DataFrame, path: str) -> DataFrame:
