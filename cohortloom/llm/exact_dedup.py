@@ -29,7 +29,8 @@ class DigestIndex:
     2. rows are counted per digest with map-side partial aggregation, so a text
        that makes up a third of all rows is one row per task in the shuffle;
     3. a sort-merge anti-join leaves the digests the index lacks. The index side
-       is read bucket by bucket, in order, without a shuffle;
+       is read bucket by bucket without a shuffle, if there are no fewer buckets
+       than ``spark.sql.shuffle.partitions``;
     4. these are appended, again one sorted file per bucket.
 
     A batch that is added again finds its digests present and appends nothing.
@@ -74,7 +75,10 @@ class DigestIndex:
             F.count("*").alias("batch_rows"),
         )
         index = self.spark.table(self.table)
-        new = groups.join(index.select("digest").hint("merge"), "digest", "left_anti")
+        # The count in the condition, always true, keeps Spark from moving the join
+        # below the aggregate, where every copy of a hot text would be shuffled.
+        seen = index.select("digest").hint("merge")
+        new = groups.join(seen, (groups["digest"] == seen["digest"]) & (groups["batch_rows"] > 0), "left_anti")
         (
             new.select(
                 "digest",
