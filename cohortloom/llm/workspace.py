@@ -49,7 +49,7 @@ class Workspace:
         self.spark = spark
         self.path = scratch_path(spark, label)
         self.kept = f"{self.path}-result"
-        self._cuts = 0
+        self._cuts = self._results = 0
 
     def __enter__(self) -> Workspace:
         return self
@@ -62,4 +62,5 @@ class Workspace:
         return write_parquet(df, f"{self.path}/{self._cuts}")
 
     def result(self, df: DataFrame, name: str = "rows") -> DataFrame:
-        return write_parquet(df, f"{self.kept}/{name}")
+        self._results += 1
+        return write_parquet(df, f"{self.kept}/{name}-{self._results}")
