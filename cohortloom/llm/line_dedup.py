@@ -91,25 +91,16 @@ def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str
         .join(own, ["h1", "h2"])
         .filter(F.col("place") == F.col("first"))
         .dropDuplicates(["h1", "h2"])
-        .select("h1", "h2", "first", F.split("line", " ").alias("words"))
+        .select("h1", "h2", "first", "line", _word_count(F.col("line")).alias("n"))
     )
-    n = F.size("words")
-    without = lambda i: F.concat(
-        F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n - i)
-    )
-    variant = lambda i: F.struct(
-        *[h.alias(name) for h, name in zip(_two_hashes(without(i)), ("v1", "v2"))], i.alias("left_out")
-    )
-    whole = F.struct(
-        *[h.alias(name) for h, name in zip(_two_hashes(F.col("words")), ("v1", "v2"))], F.lit(0).alias("left_out")
+    v1, v2 = _two_hashes(_without(F.col("line"), F.col("n"), F.col("left_out")))
+    variants = work.cut(
+        lines.select("*", F.explode(F.sequence(F.lit(0), "n")).alias("left_out")).select(
+            "h1", "h2", "first", "left_out", v1.alias("v1"), v2.alias("v2")
+        )
     )
-    neighbours = lines.select(
-        "h1",
-        "h2",
-        "first",
-        F.explode(F.concat(F.array(whole), F.transform(F.sequence(F.lit(1), n), variant))).alias("v"),
-    ).select("h1", "h2", "first", "v.*")
-    neighbours = work.cut(neighbours)
+    met = variants.groupBy("v1", "v2").agg(F.count("*").alias("n")).filter("n > 1").select("v1", "v2")
+    neighbours = work.cut(variants.join(met, ["v1", "v2"], "left_semi"))
     earliest = F.min(F.struct("first", "h1", "h2")).alias("earliest")
     replaced = neighbours.filter("left_out > 0").groupBy("v1", "v2", "left_out").agg(earliest, F.count("*").alias("n"))
     by_place = (
@@ -132,16 +123,28 @@ def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str
         .select("h1", "h2", "earliest")
     )
     found = by_place.unionByName(inserted).unionByName(deleted).groupBy("h1", "h2").agg(F.min("earliest").alias("e"))
-    other = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("others"))
+    words = F.split("line", " ")
+    other = lines.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), words.alias("others"))
     return (
         found.select("h1", "h2", F.col("e.h1").alias("o1"), F.col("e.h2").alias("o2"))
-        .join(lines.select("h1", "h2", "words"), ["h1", "h2"])
+        .join(lines.select("h1", "h2", words.alias("words")), ["h1", "h2"])
         .join(other, ["o1", "o2"])
         .filter(within_one_word(F.col("words"), F.col("others")))
         .select("h1", "h2")
     )
 
 
+def _without(line: Column, n: Column, word: Column) -> Column:
+    """A line of ``n`` words with one left out, counted from 1, or whole for 0."""
+    before, after = _ends(line, word - 1), _ends(line, word - n)
+    return (
+        F.when(word == 0, line)
+        .when(word == 1, after)
+        .when(word == n, before)
+        .otherwise(F.concat(before, F.lit(" "), after))
+    )
+
+
 def within_one_word(x: Column, y: Column) -> Column:
     """Whether at most one word was inserted, deleted or replaced: what both share at either end."""
     shorter, longer = F.least(F.size(x), F.size(y)), F.greatest(F.size(x), F.size(y))
