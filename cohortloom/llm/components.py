@@ -31,7 +31,9 @@ def connected_components(work: Workspace, edges: DataFrame, a: str = "a", b: str
         large = work.cut(large)
         low = large.groupBy("node").agg(F.min("root").alias("low"))
         lower = large.join(low, "node").filter("root <> low").select(F.col("root").alias("node"), F.col("low").alias("root"))
-        current = work.cut(low.withColumnRenamed("low", "root").unionByName(lower).distinct())
+        old, current = current, work.cut(low.withColumnRenamed("low", "root").unionByName(lower).distinct())
+        work.forget(old)
+        work.forget(large)
         before, state = state, _state(current)
         if state == before:
             break

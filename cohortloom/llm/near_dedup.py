@@ -193,7 +193,9 @@ def _confirm(
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    return work.cut(pairs.join(two, "b").join(one, "a").filter(100 * common >= percent * union).select("a", "b"))
+    links = work.cut(pairs.join(two, "b").join(one, "a").filter(100 * common >= percent * union).select("a", "b"))
+    work.forget(sets)
+    return links
 
 
 def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:

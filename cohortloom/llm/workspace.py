@@ -50,6 +50,7 @@ class Workspace:
         self.path = scratch_path(spark, label)
         self.kept = f"{self.path}-result"
         self._cuts = self._results = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def __enter__(self) -> Workspace:
         return self
@@ -59,7 +60,13 @@ class Workspace:
 
     def cut(self, df: DataFrame) -> DataFrame:
         self._cuts += 1
-        return write_parquet(df, f"{self.path}/{self._cuts}")
+        made = write_parquet(df, path := f"{self.path}/{self._cuts}")
+        self._paths[id(made)] = made, path
+        return made
+
+    def forget(self, cut: DataFrame) -> None:
+        """Delete a cut that is not read again, ahead of the others."""
+        delete_path(self.spark, self._paths.pop(id(cut))[1])
 
     def result(self, df: DataFrame, name: str = "rows") -> DataFrame:
         self._results += 1
