@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,11 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Host of an absolute or protocol-relative link. Relative links stay on their host.
 _LINK_HOST = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'>\s]+)"""
 
+#: What is still to arrive when propagation ends, as a part of the score from which a host is blocked.
+_PRECISION = 1e-3
+#: Rounds whose tables are kept before they are summed into one.
+_ROUNDS_KEPT = 16
+
 #: (verdict, rule); a rule is a host and the start of a path.
 Rules = Sequence[tuple[str, str]]
 
@@ -66,42 +73,68 @@ def link_edges(pages: DataFrame, host: Column, html_col: str = "html") -> DataFr
 
 
 def propagate(
-    work: Workspace, edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-6
+    work: Workspace, edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6
 ) -> DataFrame:
     """Personalised PageRank: ``host, score``, scores adding up to 1 at most.
 
     ``edges`` are ``src, dst, links``; ``seeds`` are ``host, mass`` with masses
-    adding up to 1. What hosts without outgoing links hold returns to the seeds.
-    Each round joins the scores with the edges on the source host and sums per
-    target, with partial sums before the shuffle; it is written, so that a lost
-    executor costs one round. Rounds end when the scores move by less than
-    ``tolerance`` in total.
+    adding up to 1. What hosts without outgoing links hold returns to the seeds,
+    which scales all scores alike, so they are the sum of what arrives in each
+    round, over its total. Each round joins what arrived in the last one with the
+    edges on the source host and sums per target, with partial sums before the
+    shuffle; it is written, so that a lost executor costs one round.
+
+    Rounds end when less than ``tolerance`` in total is still to arrive. Each
+    passes on ``damping`` of the last at most, so the rounds that suffice are known
+    beforehand; not to get there in them, or in ``rounds`` if given, is an error.
+    A ``tolerance`` of 0 asks for just ``rounds`` rounds of the power iteration.
     """
-    scores = seeds.select("host", F.col("mass").alias("score"))
+    start = seeds.select("host", F.col("mass").alias("score"))
     if edges.isEmpty() or seeds.isEmpty():
-        return scores
+        return start
+    if rounds is None:
+        rounds = _most_rounds(damping, tolerance)
     out = edges.groupBy("src").agg(F.sum("links").alias("all_links"))
     shares = work.cut(
         edges.join(out, "src").select(F.col("src").alias("host"), "dst", (F.col("links") / F.col("all_links")).alias("share"))
     )
+    arrived, masses = [start], [1.0]
+    last = start
     for _ in range(rounds):
-        moved = scores.join(shares, "host").groupBy(F.col("dst").alias("host")).agg(
-            (damping * F.sum(F.col("score") * F.col("share"))).alias("inflow")
-        )
-        arrived = work.cut(moved)
-        back = 1.0 - (arrived.agg(F.sum("inflow")).first()[0] or 0.0)
-        step = work.cut(
-            arrived.unionByName(seeds.select("host", (F.lit(back) * F.col("mass")).alias("inflow")))
-            .groupBy("host")
-            .agg(F.sum("inflow").alias("score"))
-        )
-        change = step.join(scores.withColumnRenamed("score", "old"), "host", "full_outer").agg(
-            F.sum(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))))
+        last = work.cut(
+            last.join(shares, "host")
+            .groupBy(F.col("dst").alias("host"))
+            .agg((damping * F.sum(F.col("score") * F.col("share"))).alias("score"))
         )
-        scores = step
-        if change.first()[0] < tolerance:
-            break
-    return scores
+        arrived.append(last)
+        masses.append(last.agg(F.sum("score")).first()[0] or 0.0)
+        if masses[-1] * damping < tolerance * (1 - damping):
+            return _summed(arrived, [1 / sum(masses)] * len(arrived))
+        if tolerance > 0 and len(arrived) > _ROUNDS_KEPT:
+            # The last round is still needed; the sum of those before takes their place.
+            done = arrived[:-1]
+            arrived = [work.cut(_summed(done, [1.0] * len(done))), last]
+            for part in done:
+                if part is not start:
+                    work.forget(part)
+    if tolerance > 0:
+        raise RuntimeError(f"after {rounds} rounds {masses[-1]} still moves, too much for a tolerance of {tolerance}")
+    back = [1.0]
+    for k in range(1, len(masses)):
+        back.append(1.0 - sum(b * m for b, m in zip(back, masses[k:0:-1])))
+    return _summed(arrived, back[::-1])
+
+
+def _summed(parts: list[DataFrame], weights: list[float]) -> DataFrame:
+    rows = [part.select("host", (F.lit(w) * F.col("score")).alias("score")) for part, w in zip(parts, weights)]
+    return reduce(DataFrame.unionByName, rows).groupBy("host").agg(F.sum("score").alias("score"))
+
+
+def _most_rounds(damping: float, tolerance: float) -> int:
+    """Rounds after which less than ``tolerance`` is still to arrive on any graph, and one more for rounding."""
+    if not (0 < damping < 1 and tolerance > 0):
+        raise ValueError("without a number of rounds, damping must lie between 0 and 1 and tolerance above 0")
+    return max(1, math.ceil(math.log(tolerance * (1 - damping) / damping) / math.log(damping))) + 1
 
 
 def _seeds(hosts: DataFrame, share: str) -> DataFrame:
@@ -121,7 +154,7 @@ def judge_urls(
     html_col: str = "html",
     threshold: float = 0.25,
     damping: float = 0.85,
-    rounds: int = 20,
+    rounds: int | None = None,
 ) -> DataFrame:
     """``id_col, host, path, rule, verdict`` for every page.
 
@@ -132,6 +165,9 @@ def judge_urls(
     against the links, from a page to those that link to it. A host is blocked
     if its distrust exceeds its trust and is at least ``threshold`` times the
     mean over all hosts; any other, also one no link reaches, is allowed.
+    Propagation ends when all that is still to arrive is under a thousandth of
+    that threshold, which must be above 0, however long the paths; ``rounds``, if
+    given, is a limit whose passing is an error.
 
     A null url has an empty host and path, fits no rule and is allowed; null
     html has no links. Repeated rows are judged alike, each gives a row. No
@@ -156,9 +192,10 @@ def judge_urls(
     shares = shares.filter("host != ''")
     edges = work.cut(link_edges(pages, url_host(url), html_col))
     reverse = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "links")
-    trust = propagate(work, edges, _seeds(shares, "allowed"), damping, rounds)
-    distrust = propagate(work, reverse, _seeds(shares, "blocked"), damping, rounds)
     mean = 1.0 / max(1, shares.count())
+    tolerance = _PRECISION * threshold * mean
+    trust = propagate(work, edges, _seeds(shares, "allowed"), damping, rounds, tolerance)
+    distrust = propagate(work, reverse, _seeds(shares, "blocked"), damping, rounds, tolerance)
     blocked = (
         distrust.withColumnRenamed("score", "distrust")
         .join(trust.withColumnRenamed("score", "trust"), "host", "left")

@@ -86,5 +86,34 @@ def test_scores_are_those_of_a_dense_iteration(spark, work):
     assert sum(found.values()) == pytest.approx(1.0)
 
 
+def test_distrust_reaches_hosts_beyond_twenty_links(spark, work):
+    """A chain of 24 links to a blocked host, among 1,500 hosts without links."""
+    far = 24
+    rows = [(0, "http://h0.net/1", None)]
+    rows += [(k, f"http://h{k}.info/1", f'<a href="http://h{k - 1}.{"net" if k == 1 else "info"}/">x</a>') for k in range(1, far + 1)]
+    rows += [(k, f"http://alone{k}.info/1", None) for k in range(100, 1600)]
+    scores = 0.15 * 0.85 ** np.arange(far + 1)
+    scores /= 1 - 0.85 ** (far + 1)  # the end of the chain gives back to the seed what it holds
+    assert scores[far] > 1.5 * 0.25 / len(rows)
+    found = {r["page_id"]: r["verdict"] for r in judge_urls(work, pages_of(spark, rows), URL_RULES).collect()}
+    assert found == {k: "block" if k <= far else "allow" for k in found}
+
+
+def test_converged_scores_are_those_of_the_linear_system(spark, work):
+    """A ring with a way out, so that rounds are many and some mass returns to the seed."""
+    edges = [(k, (k + 1) % 5) for k in range(5)] + [(3, 5)]
+    frame = spark.createDataFrame([(str(a), str(b), 1) for a, b in edges], "src string, dst string, links long")
+    start = spark.createDataFrame([("0", 1.0)], "host string, mass double")
+    flow = np.zeros((6, 6))
+    for a, b in edges:
+        flow[b, a] = 1 / sum(x == a for x, _ in edges)
+    score = np.linalg.solve(np.eye(6) - 0.85 * flow, np.eye(6)[0])
+    score /= score.sum()
+    found = {int(r["host"]): r["score"] for r in propagate(work, frame, start, tolerance=1e-4).collect()}
+    assert found == {h: pytest.approx(score[h], abs=1e-4) for h in range(6)}
+    with pytest.raises(RuntimeError, match="after 3 rounds"):
+        propagate(work, frame, start, rounds=3, tolerance=1e-4)
+
+
 def test_no_pages(spark, work):
     assert judge_urls(work, pages_of(spark, []), URL_RULES).count() == 0
