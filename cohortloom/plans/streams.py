@@ -91,15 +91,29 @@ WHERE user_id % 3 <> 0
 )
 def stream_merges(spark, sf_dir):
     """Identity pairs over a feed, each once within the watermark."""
-    feed = _feed(spark, sf_dir, "events")
+    return _merges(_feed(spark, sf_dir, "events").where(F.col("user_id") % 3 != 0))
+
+
+@plan(
+    """
+SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS id_a, CAST(user_id + 1000 AS VARCHAR) AS id_b FROM events
+WHERE user_id IS NOT NULL
+"""
+)
+def stream_merges_all(spark, sf_dir):
+    """Identity pairs of every user of a feed, each once within the watermark."""
+    return _merges(_feed(spark, sf_dir, "events").where(F.col("user_id").isNotNull()))
+
+
+def _merges(feed: DataFrame) -> DataFrame:
     user = F.col("user_id")
-    pairs = feed.where(user % 3 != 0).select(
+    pairs = feed.select(
         F.concat(F.lit("u"), user.cast("string")).alias("id_a"),
         (user + 1000).cast("string").alias("id_b"),
         F.col("ts").cast("timestamp").alias("event_time"),
     )
     distinct = S.distinct_merges(pairs.withWatermark("event_time", "60 days"))
-    return _drain(distinct, scratch_path(spark, "merges")).select("id_a", "id_b")
+    return _drain(distinct, scratch_path(feed.sparkSession, "merges")).select("id_a", "id_b")
 
 
 @plan(

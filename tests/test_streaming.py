@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from cohortloom.streaming import feeds as S
 
 
@@ -57,6 +58,14 @@ def test_late_pairs_are_dropped_once(spark, tmp_path):
     assert spark.table("pairs").count() == 2
 
 
+def test_merges_of_every_user_of_a_feed(spark):
+    sf = "/root/testdata/sf0.001"
+    users = {r[0] for r in spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct().collect()} - {None}
+    assert any(u % 3 == 0 for u in users)
+    found = [tuple(r) for r in entry.queries()["stream_merges_all"](spark, sf).collect()]
+    assert sorted(found) == sorted((f"u{u}", str(u + 1000)) for u in users)
+
+
 def test_user_windows(spark, tmp_path):
     rows = [("e", "a", 10), ("e", "a", 20), ("e", "b", 86_410)]
     events = spark.createDataFrame(rows, "event string, distinct_id string, time bigint")
