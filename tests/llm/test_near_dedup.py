@@ -1,3 +1,5 @@
+from math import comb
+
 import numpy as np
 import pytest
 from conftest import ODD
@@ -72,6 +74,20 @@ def test_bitmaps_allow_every_true_link():
                 assert bits[8:].sum() <= N.most_full_bits(np.float64(len(a) + len(b)), percent)
 
 
+def test_the_sketch_cuts_fewer_true_links_than_the_bands_miss():
+    """Exact: binomial in the samples that differ, two flips each, parities of the bits they hit."""
+    at = np.arange(N.SKETCH_BITS + 1)
+    odd = [np.eye(N.SKETCH_BITS + 1)[0]]
+    for _ in range(2 * N.SAMPLES):
+        up, down = odd[-1] * (1 - at / N.SKETCH_BITS), odd[-1] * at / N.SKETCH_BITS
+        odd.append(np.append(0, up[:-1]) + np.append(down[1:], 0))
+    for percent in (80, 85):
+        same = percent / 100
+        over = [row[N.most_differing_bits(percent) + 1 :].sum() for row in odd[::2]]
+        cut = sum(comb(N.SAMPLES, d) * (1 - same) ** d * same ** (N.SAMPLES - d) * p for d, p in enumerate(over))
+        assert cut < 0.01 * (1 - same**N.BAND_ROWS) ** N.BANDS
+
+
 def test_odd_rows(work, docs_of):
     rows = N.near_duplicates(work, docs_of(ODD), 85).collect()
     assert len(rows) == len(ODD)
