@@ -7,6 +7,7 @@ import gzip
 import json
 import zipfile
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -117,6 +118,20 @@ def csv_groups(spark, sf_dir):
     return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
 
 
+@plan(f"SELECT group_type, group_id AS distinct_id, key, value FROM ({D.GROUP_PROPS})")
+def csv_groups_all(spark, sf_dir):
+    """Group profiles of all types as CSV, a folder per type, read back with their type."""
+    path = scratch_path(spark, "csv-groups-all")
+    groups = D.groups(spark, sf_dir)
+    types = sorted(r[0] for r in groups.select("group_type").distinct().collect())
+    read = []
+    for name in types:
+        folder = f"{path}/group_type={name}"
+        X.export_profiles(groups.where(F.col("group_type") == name), folder, "csv", id_col="group_id")
+        read.append(csv_files.read_profiles(spark, folder).withColumn("group_type", F.lit(name)))
+    return X.long_form(reduce(DataFrame.unionByName, read), "group_type", "distinct_id")
+
+
 @plan(
     f"""
 SELECT event_type AS event, {D.UID} AS distinct_id, {D.EPOCH_S} AS time, event_id FROM events

@@ -5,6 +5,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from cohortloom.operators import batches as BA
 from cohortloom.operators.events import shape_events
 from cohortloom.sinks import delivery, exports as X
@@ -160,3 +161,8 @@ def test_zip_members(spark, tmp_path):
     lines = archive.read_zip_records(spark, str(tmp_path))
     got = sorted(r["record"] for r in lines.collect())
     assert got == sorted([f'{{"n":{n}}}' for n in range(3)] * 2)
+
+
+def test_groups_of_every_type_come_back_from_csv(spark):
+    rows = entry.queries()["csv_groups_all"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["group_type"] for r in rows} == {"nations", "suppliers"}
