@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.workspace import Workspace
 
-#: Lines of fewer words are only dropped as exact copies.
+#: Lines of fewer words are only dropped as exact copies, unless the caller sets another least length.
 MIN_WORDS = 8
 #: What separates words: space and the ASCII controls from tab to carriage return.
 _SPACES = " \t\x0b\x0c\r\n"
@@ -77,7 +77,9 @@ def _ends(line: Column, words: Column) -> Column:
     return F.call_function("substring_index", line, F.lit(" "), words)
 
 
-def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _near_lines(
+    work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, min_words: int
+) -> DataFrame:
     """``h1, h2`` of the distinct lines that have an earlier line one word apart."""
     keyed = firsts.filter("half_keys IS NOT NULL").select("h1", "h2", F.explode("half_keys").alias("half"))
     shared = keyed.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
@@ -86,7 +88,7 @@ def _near_lines(work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str
     own = firsts.join(likely, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
     lines = work.cut(
         split_lines(docs, id_col, text_col)
-        .filter(_word_count(F.col("line")) >= MIN_WORDS)
+        .filter(_word_count(F.col("line")) >= min_words)
         .select("line", h1.alias("h1"), h2.alias("h2"), F.struct("doc_id", "line_no", "text_hash").alias("place"))
         .join(own, ["h1", "h2"])
         .filter(F.col("place") == F.col("first"))
@@ -154,12 +156,14 @@ def within_one_word(x: Column, y: Column) -> Column:
     return (head == 0) | ((longer - shorter <= 1) & ((head - 1) + (tail - 1) >= longer - 1))
 
 
-def dedup_lines(work: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(
+    work: Workspace, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """Per row: ``doc_id, n_lines, n_dropped, kept_text``.
 
     Lines are what ``\\n`` parts, words what ASCII white space parts. A line goes if
     an earlier one, by (id, number of the line), has the same words, or, of lines of
-    ``MIN_WORDS`` words or more, is one word apart. Lines are judged on the input, not on
+    ``min_words`` words or more, is one word apart. Lines are judged on the input, not on
     what is left. Lines without words stay. What stays is joined
     by ``\\n``. A null text has no lines and stays null. Rows that repeat id and
     text are judged alike; of rows that share the id only, equal lines at one
@@ -180,12 +184,12 @@ def dedup_lines(work: Workspace, docs: DataFrame, id_col: str = "doc_id", text_c
             h1.alias("h1"),
             h2.alias("h2"),
             F.struct("doc_id", "line_no", "text_hash").alias("place"),
-            F.when(n >= MIN_WORDS, _half_keys(F.col("line"), n)).alias("half_keys"),
+            F.when(n >= min_words, _half_keys(F.col("line"), n)).alias("half_keys"),
         )
         .groupBy("h1", "h2")
         .agg(F.min("place").alias("first"), F.any_value("half_keys").alias("half_keys"))
     )
-    near = work.cut(_near_lines(work, named, firsts, id_col, text_col))
+    near = work.cut(_near_lines(work, named, firsts, id_col, text_col, min_words))
     # The lines that stay, as bits: one integer for 64 lines of a text.
     bits = (
         firsts.join(near, ["h1", "h2"], "left_anti")

@@ -61,5 +61,11 @@ def test_odd_rows(work, docs_of):
     assert all(r["n_dropped"] == 0 for r in rows if r["doc_id"] in (None, 4))
 
 
+def test_the_least_length_is_the_callers(work, docs_of):
+    pairs = [(1, "a b c d e"), (2, "a b x d e"), (3, "a b c d"), (4, "p q r s"), (5, "p q r t")]
+    kept = {r["doc_id"]: r["kept_text"] for r in dedup_lines(work, docs_of(pairs), min_words=5).collect()}
+    assert kept == {1: "a b c d e", 2: "", 3: "a b c d", 4: "p q r s", 5: "p q r t"}
+
+
 def test_no_rows(work, docs_of):
     assert dedup_lines(work, docs_of([])).count() == 0
