@@ -11,6 +11,7 @@ from cohortloom.llm.exact_dedup import DigestIndex
 from cohortloom.llm.line_dedup import dedup_lines
 from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import language_id, toxicity
+from cohortloom.llm.bpe_codec import decode_ids, encode_texts
 from cohortloom.llm.decontamination import find_contained
 from cohortloom.llm.near_dedup import near_duplicates
 from cohortloom.llm.substring_dedup import remove_repeats
@@ -254,3 +255,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents contain at least four fifths of a benchmark item."""
     with Workspace(spark, "leaks") as work:
         return find_contained(work, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids, and of the texts that are decoded from these."""
+    path = tokenizer_path(spark, "byte_bpe_50k.json")
+    coded = decode_ids(encode_texts(read_table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
