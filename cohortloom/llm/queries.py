@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.exact_dedup import DigestIndex
 from cohortloom.llm.line_dedup import dedup_lines
+from cohortloom.llm.merkle import fold, leaf_digest, merkle_manifest, proof_digest
 from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import language_id, toxicity
 from cohortloom.llm.bpe_codec import decode_ids, encode_texts
@@ -268,3 +269,69 @@ def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query(r"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS tree,
+         list_transform([text, CASE WHEN list_reduce(string_split(doc_id::VARCHAR, ''),
+             lambda c, d: list_reduce(range(8),
+               lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END,
+               xor(c, ord(d)::BIGINT)),
+             4294967295::BIGINT) % 2 = 1 THEN replace(text, chr(10), '') ELSE text END],
+           lambda t: sha256(array_to_string(list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR, t],
+                       lambda v: coalesce(strlen(v)::VARCHAR || ':' || v, '-')), ''))) AS digests
+  FROM (SELECT doc_id, source, lang, n_chars, text FROM documents)),
+placed AS (
+  SELECT *, digests[1] AS leaf, count(*) OVER (PARTITION BY tree) AS n,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digests[1]) - 1 AS place
+  FROM leaves),
+up AS (
+  SELECT tree, 0 AS level, place, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM up WHERE n > 1 GROUP BY tree, level, place // 3, n),
+subroots AS (
+  SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT '#' AS tree, 0 AS level, place, n, digest FROM subroots
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM top WHERE n > 1 GROUP BY tree, level, place // 3, n),
+runs AS (
+  SELECT tree, level, place // 3 AS parent, list(digest ORDER BY place) AS d
+  FROM (SELECT * FROM up UNION ALL SELECT * FROM top) WHERE n > 1 GROUP BY ALL),
+walk AS (
+  SELECT row, tree, 0 AS level, place, n, digests[2] AS node, '' AS proof FROM placed
+  UNION ALL
+  SELECT w.row, CASE WHEN w.n > 1 THEN w.tree ELSE '#' END, CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END,
+         CASE WHEN w.n > 1 THEN w.place // 3 ELSE s.place END, CASE WHEN w.n > 1 THEN (w.n + 2) // 3 ELSE s.n END,
+         CASE WHEN w.n > 1 THEN sha256(array_to_string(r.d[:w.place % 3], '') || w.node
+                                       || array_to_string(r.d[w.place % 3 + 2:], '')) ELSE w.node END,
+         CASE WHEN w.n > 1 THEN w.proof || array_to_string(r.d[:w.place % 3], '')
+                                || array_to_string(r.d[w.place % 3 + 2:], '') ELSE w.proof END
+  FROM walk w LEFT JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.parent = w.place // 3
+       LEFT JOIN subroots s ON s.tree = w.tree
+  WHERE w.n > 1 OR w.tree <> '#')
+SELECT p.doc_id, p.leaf, s.digest AS subroot, t.digest AS root, sha256(w.proof) AS proof_sha256,
+       w.node AS folded_root, w.node = t.digest AS verified
+FROM placed p JOIN subroots s ON s.tree = p.tree JOIN walk w ON w.row = p.row AND w.tree = '#' AND w.n = 1
+     JOIN top t ON t.n = 1
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents; of some documents the line breaks are taken out and told by it."""
+    docs = read_table(spark, sf_dir, "documents")
+    bare = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = leaf_digest(*map(F.col, ("doc_id", "source", "lang", "n_chars")), F.coalesce(bare, "text"))
+    with Workspace(spark, "merkle") as work:
+        rows = merkle_manifest(work, docs, carry={"tampered": tampered})
+    folded = rows.withColumn("folded_root", fold(F.col("tampered"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
