@@ -13,6 +13,7 @@ from cohortloom.llm.merkle import fold, leaf_digest, merkle_manifest, proof_dige
 from cohortloom.llm.mixing import plan_mix, word_count
 from cohortloom.llm import language_id, toxicity
 from cohortloom.llm.bpe_codec import decode_ids, encode_texts
+from cohortloom.llm.collocations import collocations
 from cohortloom.llm.decontamination import find_contained
 from cohortloom.llm.near_dedup import near_duplicates
 from cohortloom.llm.substring_dedup import remove_repeats
@@ -335,3 +336,36 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, w[i:i + m - 1] AS g, count(*) AS f
+  FROM pieces, unnest(range(1, 6)) AS x(m), unnest(range(1, len(w) - m + 2)) AS y(i)
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r, t.n,
+         (1000 * c.f::HUGEINT * t.n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM grams c, unnest(range(1, len(c.g))) AS x(k)
+       JOIN grams l ON l.lang = c.lang AND l.g = c.g[:k] JOIN grams r ON r.lang = c.lang AND r.g = c.g[k + 1:]
+       JOIN totals t ON t.lang = c.lang),
+best AS (SELECT lang, g, a, n, min((score, k, l, r)) AS cut FROM cuts GROUP BY ALL),
+inner_ones AS (
+  SELECT lang, g[i:i + m - 1] AS g, max(f) AS longer
+  FROM grams, unnest(range(2, len(g))) AS x(m), unnest(range(1, len(g) - m + 2)) AS y(i) GROUP BY ALL),
+ranked AS (
+  SELECT b.lang, array_to_string(g, ' ') AS phrase, a, cut[3] AS l, cut[4] AS r, n, cut[1] AS score
+  FROM best b LEFT JOIN inner_ones i USING (lang, g) WHERE 100 * coalesce(i.longer, 0) < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked QUALIFY rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language that occur 100 times."""
+    with Workspace(spark, "phrases") as work:
+        return collocations(work, read_table(spark, sf_dir, "documents"), least=100, top=2000)
