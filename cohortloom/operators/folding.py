@@ -274,6 +274,23 @@ def _list(s: Column, c: Column) -> Column:
     return P.bind(P.bind(held, without), extended)
 
 
+def folded_props(stored: Column, wiped: Column, changes: Column) -> Column:
+    """A property map after the folded changes of :func:`fold_updates`."""
+    entries = F.transform(
+        F.coalesce(changes, F.array()),
+        lambda c: F.struct(
+            c["prop"].alias("key"),
+            _new_value(c, F.try_element_at(stored, c["prop"])).alias("value"),
+        ),
+    )
+    touched = F.transform(F.coalesce(changes, F.array()), lambda c: c["prop"])
+    kept = F.when(wiped, P.empty_props()).otherwise(
+        F.map_filter(stored, lambda k, _: ~F.array_contains(touched, k))
+    )
+    written = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    return F.when(changes.isNull(), kept).otherwise(F.map_concat(kept, written))
+
+
 def apply_updates(
     profiles: DataFrame, updates: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -286,17 +303,43 @@ def apply_updates(
     stored = F.coalesce(F.col("properties"), P.empty_props())
     wiped = F.coalesce("wiped", F.lit(False))
     exists = F.coalesce("creates", F.lit(False)) | (F.col("_stored").isNotNull() & ~wiped)
-    entries = F.transform(
-        F.coalesce("changes", F.array()),
-        lambda c: F.struct(
-            c["prop"].alias("key"),
-            _new_value(c, F.try_element_at(stored, c["prop"])).alias("value"),
-        ),
+    after = folded_props(stored, wiped, F.col("changes"))
+    return joined.where(exists).withColumn("properties", after).select(*profiles.columns)
+
+
+def apply_folded(profiles: DataFrame, deltas: DataFrame) -> DataFrame:
+    """Profiles after several folded batches, applied in the order of ``batch``.
+
+    ``deltas`` is what :func:`fold_updates` gives for each batch, with its
+    number: one row per profile and batch. A profile's rows are brought together,
+    at most one per batch, and applied one after another to what is stored.
+    """
+    changes = deltas.schema["changes"].dataType
+    lined_up = deltas.groupBy("distinct_id").agg(
+        F.array_sort(F.collect_list(F.struct("batch", "wiped", "creates"))).alias("fates"),
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("changes").isNotNull(), F.struct("batch", "changes")))
+        ).alias("changes"),
     )
-    touched = F.transform(F.coalesce("changes", F.array()), lambda c: c["prop"])
-    kept = F.when(wiped, P.empty_props()).otherwise(
-        F.map_filter(stored, lambda k, _: ~F.array_contains(touched, k))
+    joined = profiles.withColumn("_stored", F.lit(True)).join(lined_up, "distinct_id", "full")
+    start = F.struct(
+        F.col("_stored").isNotNull().alias("exists"),
+        F.coalesce(F.col("properties"), P.empty_props()).alias("properties"),
+    )
+
+    def step(held: Column, delta: Column) -> Column:
+        exists = delta["creates"] | (held["exists"] & ~delta["wiped"])
+        changed = F.try_element_at(F.col("changes"), delta["batch"]).cast(changes)
+        after = folded_props(held["properties"], delta["wiped"], changed)
+        return F.struct(
+            exists.alias("exists"), F.when(exists, after).otherwise(P.empty_props()).alias("properties")
+        )
+
+    held = F.when(F.col("fates").isNull(), start).otherwise(F.aggregate("fates", start, step))
+    # The outer column keeps the fold from being computed once per use.
+    return (
+        joined.withColumn("_held", F.explode(F.array(held)))
+        .where("_held.exists")
+        .withColumn("properties", F.col("_held.properties"))
+        .select(*profiles.columns)
     )
-    written = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
-    after = F.when(F.col("changes").isNull(), kept).otherwise(F.map_concat(kept, written))
-    return joined.where(exists).withColumn("properties", after).select(*profiles.columns)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import properties as P
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks import exports as X
 from ..sources import json_files
 from ..streaming import feeds as S
+from ..streaming.profile_store import ProfileStore
 from . import files, tables as D
 from .registry import plan
 
@@ -83,17 +84,6 @@ def stream_counts(spark, sf_dir):
     return out.select(F.unix_timestamp("window_start").alias("day_start"), "event", "n")
 
 
-@plan(
-    """
-SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS id_a, CAST(user_id + 1000 AS VARCHAR) AS id_b FROM events
-WHERE user_id % 3 <> 0
-"""
-)
-def stream_merges(spark, sf_dir):
-    """Identity pairs over a feed, each once within the watermark."""
-    return _merges(_feed(spark, sf_dir, "events").where(F.col("user_id") % 3 != 0))
-
-
 @plan(
     """
 SELECT DISTINCT 'u' || CAST(user_id AS VARCHAR) AS id_a, CAST(user_id + 1000 AS VARCHAR) AS id_b FROM events
@@ -146,10 +136,16 @@ UNION ALL SELECT distinct_id, 'last_event', '"' || last || '"' FROM c
 """
 )
 def stream_updates(spark, sf_dir):
-    """Every event of a feed as two updates of its user's profile."""
+    """Every event of a feed of ten files as two updates of its user's profile, in a store."""
     path = scratch_path(spark, "updates")
-    D.customers(spark, sf_dir).write.parquet(f"{path}/profiles/version=0")
-    feed = _feed(spark, sf_dir, "events")
+    store = ProfileStore(spark, f"{path}/profiles", buckets=8)
+    store.create(D.customers(spark, sf_dir))
+    events = D.table(spark, sf_dir, "events")
+    parts = cut_lineage(events.repartitionByRange(10, "event_id").withColumn("part", F.spark_partition_id()))
+    # One after another, as files arrive: a feed takes them by their time.
+    for part in range(10):
+        parts.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/events")
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
     ops = F.array(
         F.struct(
             F.lit("$add").alias("op"),
@@ -165,6 +161,5 @@ def stream_updates(spark, sf_dir):
     updates = feed.select(D.text_id("user_id").alias("distinct_id"), F.explode_outer(ops).alias("u")).select(
         "distinct_id", "u.seq", "u.op", "u.payload"
     )
-    S.update_profiles(updates, f"{path}/profiles", f"{path}/checkpoint", once=True).awaitTermination()
-    last = spark.read.parquet(f"{path}/profiles").agg(F.max("version")).first()[0]
-    return X.long_form(spark.read.parquet(f"{path}/profiles/version={last}"), "distinct_id")
+    S.update_profiles(updates, store, f"{path}/checkpoint", once=True).awaitTermination()
+    return X.long_form(store.read(), "distinct_id")

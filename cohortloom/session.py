@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +35,51 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system, wherever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly under a folder, in order; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
+
+
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+@contextmanager
+def owned_cuts(spark: SparkSession) -> Iterator[None]:
+    """Delete the cuts made in this block at its end.
+
+    For what ends in a write: a DataFrame that reads a cut must not leave the
+    block. An inner block deletes its own cuts.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table survives lost executors, keeps the schema, and gives
     every later reader the same rows, which a recomputed plan with
-    partition-dependent columns would not.
+    partition-dependent columns would not. It stays until its owner
+    (:func:`owned_cuts`) or the caller deletes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,10 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions import predicates as Q
 from ..functions import properties as P
 from ..operators import events as E
-from ..operators import folding
 from ..operators.behaviors import window_seconds
 from ..sinks.exports import event_json
 from ..sources.json_files import EVENT_JSON
+from .profile_store import ProfileStore
 
 
 def read_event_feed(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
@@ -117,18 +117,24 @@ def behaviors_from_days(
 
 
 def update_profiles(
-    updates: DataFrame, profiles_path: str, checkpoint: str, once: bool = False
+    updates: DataFrame,
+    store: ProfileStore,
+    checkpoint: str,
+    once: bool = False,
+    compact_at: float | None = 1.0,
 ) -> StreamingQuery:
-    """Apply a feed of ``distinct_id, seq, op, payload`` to a versioned profiles table.
+    """Apply a feed of ``distinct_id, seq, op, payload`` to a profile store.
 
-    Batch ``n`` reads version ``n`` under ``profiles_path`` and writes version
-    ``n + 1``. Running a batch again reads and writes the same versions, so
-    adds and appends are not applied twice. Version 0 is the table to start from.
+    Each batch is folded and written at its own cost. A batch that runs again
+    replaces what it wrote, so adds and appends are not applied twice. The
+    store is compacted once its deltas have ``compact_at`` times the rows of its base,
+    so a profile is rewritten for every so many rows of updates; with ``None`` never.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        before = batch.sparkSession.read.parquet(f"{profiles_path}/version={batch_id}")
-        after = folding.apply_updates(before, batch)
-        after.write.mode("overwrite").parquet(f"{profiles_path}/version={batch_id + 1}")
+        opened = ProfileStore(batch.sparkSession, store.path, store.buckets)
+        opened.append(batch, batch_id)
+        if compact_at is not None and opened.is_due(compact_at):
+            opened.compact()
 
     return _start(updates, write, checkpoint, once)

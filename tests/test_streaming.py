@@ -1,33 +1,101 @@
 import json
+import os
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from cohortloom.operators import folding
+from cohortloom.session import cut_lineage, shared_dir
 from cohortloom.streaming import feeds as S
+from cohortloom.streaming.profile_store import ProfileStore
+
+
+UPDATES = "distinct_id string, seq bigint, op string, payload map<string,string>"
 
 
 def test_update_feed_survives_a_restart(spark, profiles_of, as_dict, tmp_path):
     """Batches of adds over two runs count every file once."""
-    base, feed = tmp_path / "profiles", tmp_path / "feed"
-    profiles_of({"a": {"n": 1}}).write.parquet(str(base / "version=0"))
-    schema = "distinct_id string, seq bigint, op string, payload map<string,string>"
+    feed = tmp_path / "feed"
+    store = ProfileStore(spark, str(tmp_path / "profiles"), buckets=4)
+    store.create(profiles_of({"a": {"n": 1}}))
 
     def arrive(seq):
         rows = [("a", seq, "$add", {"n": "10"}), ("b", seq, "$append", {"l": str(seq)})]
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(feed))
+        spark.createDataFrame(rows, UPDATES).coalesce(1).write.mode("append").parquet(str(feed))
 
     def run():
-        updates = spark.readStream.schema(schema).parquet(str(feed))
-        S.update_profiles(updates, str(base), str(tmp_path / "cp"), once=True).awaitTermination()
+        updates = spark.readStream.schema(UPDATES).parquet(str(feed))
+        S.update_profiles(updates, store, str(tmp_path / "cp"), once=True).awaitTermination()
 
     arrive(1)
     run()
     run()
     arrive(2)
     run()
-    last = max(int(p.name.split("=")[1]) for p in base.iterdir() if p.name.startswith("version"))
-    out = as_dict(spark.read.parquet(str(base / f"version={last}")))
-    assert out == {"a": {"n": 21}, "b": {"l": [1, 2]}}
+    assert as_dict(store.read()) == {"a": {"n": 21}, "b": {"l": [1, 2]}}
+
+
+def random_batches(rng, n_batches, n_updates):
+    """Batches of updates of few ids and names, so that all kinds meet; ``seq`` starts anew in each."""
+    values = ["1", "2.5", '"x"', "[1,2]", '["x"]', "null", "[]"]
+    batches = []
+    for _ in range(n_batches):
+        rows = []
+        for seq in rng.permutation(n_updates).tolist():
+            op = rng.choice(["$set", "$set_once", "$add", "$append", "$union", "$remove", "$unset", "$delete"], p=[.2, .15, .15, .15, .1, .1, .1, .05])
+            value = {"$add": "1.5", "$union": rng.choice(["[1,3]", '["x",1]', "[]"])}.get(op, rng.choice(values))
+            payload = None if op == "$delete" else {str(rng.choice(["p", "q"])): str(value)}
+            rows.append((str(rng.choice(["a", "b", "c", "d"])), int(seq), str(op), payload))
+        batches.append(rows)
+    return batches
+
+
+@pytest.mark.parametrize("compact_after", [(), (4,), (0, 1, 6, 9)])
+def test_a_store_holds_what_applying_each_batch_gives(spark, profiles_of, as_dict, tmp_path, compact_after):
+    start = profiles_of({"a": {"p": 1, "q": [1]}, "b": {"p": "x"}, "z": {"q": 7}})
+    store = ProfileStore(spark, str(tmp_path / "profiles"), buckets=3)
+    store.create(start)
+    want = start
+    for n, rows in enumerate(random_batches(np.random.default_rng(len(compact_after)), 10, 14)):
+        batch = spark.createDataFrame(rows, UPDATES)
+        want = cut_lineage(folding.apply_updates(want, batch))
+        store.append(batch, n)
+        if n == 5:
+            store.append(batch, n)
+        if n in compact_after:
+            store.compact()
+            store.append(batch, n)
+    assert as_dict(store.read()) == as_dict(want)
+    some = spark.createDataFrame([("a",), ("z",), ("none",)], "distinct_id string")
+    assert as_dict(store.read(some)) == {k: v for k, v in as_dict(want).items() if k in ("a", "z")}
+
+
+def test_a_batch_writes_what_it_touches_and_half_written_folders_do_not_count(spark, profiles_of, as_dict, tmp_path):
+    store = ProfileStore(spark, str(tmp_path / "profiles"), buckets=4)
+    store.create(profiles_of({str(i): {"n": 1} for i in range(500)}))
+    for n in range(3):
+        rows = [("7", 0, "$add", {"n": "1"}), ("new", 0, "$set", {"n": str(n)})]
+        store.append(spark.createDataFrame(rows, UPDATES), n)
+    delta = tmp_path / "profiles" / "delta"
+    assert spark.read.parquet(str(delta)).count() == 6
+    assert not store.is_due(0.5) and store.is_due(0.01)
+    (delta / "batch=2" / "_SUCCESS").unlink()
+    assert as_dict(store.read())["7"] == {"n": 3}
+    store.append(spark.createDataFrame([("7", 0, "$add", {"n": "5"})], UPDATES), 2)
+    store.compact()
+    store.compact()
+    assert as_dict(store.read())["7"] == {"n": 8} and as_dict(store.read())["new"] == {"n": 1}
+    assert store.read().count() == 501 and not store.is_due(0.0)
+
+
+def test_cuts_of_a_batch_go_with_it(spark, profiles_of, tmp_path):
+    before = set(os.listdir(shared_dir(spark)))
+    store = ProfileStore(spark, str(tmp_path / "profiles"), buckets=4)
+    store.create(profiles_of({"a": {"n": 1}}))
+    store.append(spark.createDataFrame([("a", 0, "$add", {"n": "1"})], UPDATES), 0)
+    assert set(os.listdir(shared_dir(spark))) == before
 
 
 def test_ingest_quarantines(spark, tmp_path):
