@@ -109,15 +109,6 @@ def csv_profiles(spark, sf_dir):
     return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
 
 
-@plan(f"SELECT group_id AS distinct_id, key, value FROM ({D.GROUP_PROPS}) WHERE group_type = 'suppliers'")
-def csv_groups(spark, sf_dir):
-    """Group profiles of one type as CSV, read back by their ids."""
-    path = scratch_path(spark, "csv-groups")
-    suppliers = D.groups(spark, sf_dir).where(F.col("group_type") == "suppliers")
-    X.export_profiles(suppliers, path, "csv", id_col="group_id")
-    return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
-
-
 @plan(f"SELECT group_type, group_id AS distinct_id, key, value FROM ({D.GROUP_PROPS})")
 def csv_groups_all(spark, sf_dir):
     """Group profiles of all types as CSV, a folder per type, read back with their type."""

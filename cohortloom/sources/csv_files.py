@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import properties as P
+from .splits import csv_headers, csv_rows
 
 
 _SCALAR = (
@@ -48,16 +49,14 @@ def props_from_cells(df: DataFrame, ignored: Iterable[str]) -> Column:
     return P.props_from_texts(texts) if texts else P.empty_props()
 
 
-def read_cells(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
-    """CSV with a header, every cell text; quotes doubled, newlines allowed in cells.
+def read_cells(spark: SparkSession, paths) -> DataFrame:
+    """CSV with a header and a row on each line, every cell text; quotes doubled.
 
     A short row's missing cells are empty. Files must agree on their header.
-    Turn ``multi_line`` off where no cell holds a newline: a large file is then
-    split over many tasks.
+    Spark splits such files itself.
     """
     return spark.read.options(
         header=True,
-        multiLine=multi_line,
         escape='"',
         quote='"',
         inferSchema=False,
@@ -97,11 +96,43 @@ def profiles_from_cells(df: DataFrame) -> DataFrame:
     )
 
 
+def _rows_with(spark: SparkSession, paths, names: Iterable[str]) -> DataFrame:
+    """Rows of CSV files as maps; each file's header must have ``names``."""
+    headers = csv_headers(spark, paths)
+    lacking = F.array_except(F.array(*map(F.lit, names)), "header")
+    bad = headers.where(F.size("header") > 0).select("path", lacking.alias("lacks")).where(F.size("lacks") > 0).first()
+    if bad:
+        raise ValueError(f"CSV header lacks {', '.join(bad['lacks'])}: {bad['path']}")
+    return csv_rows(spark, paths)
+
+
+def _props_of_rows(ignored: Iterable[str]) -> Column:
+    kept = F.map_filter("cells", lambda name, _: ~name.isin(*ignored))
+    return F.transform_values(kept, lambda _, cell: cell_text(cell))
+
+
 def read_events(
     spark: SparkSession, paths, time_converter=None, multi_line: bool = True
 ) -> DataFrame:
-    return events_from_cells(read_cells(spark, paths, multi_line), time_converter)
+    """Shaped events from CSV files, of which each has a header of its own.
+
+    Cells may hold newlines; files are split over tasks all the same. Where no
+    cell does and all headers agree, ``multi_line`` off leaves parsing to Spark.
+    """
+    if not multi_line:
+        return events_from_cells(read_cells(spark, paths), time_converter)
+    fixed = ("event", "distinct_id", "time")
+    rows = _rows_with(spark, paths, fixed)
+    named = rows.select(*[F.try_element_at("cells", F.lit(n)).alias(n) for n in fixed], _props_of_rows(fixed).alias("properties"))
+    time = time_converter(F.col("time")) if time_converter else F.col("time")
+    return named.select("event", "distinct_id", time.cast("bigint").alias("time"), "properties")
 
 
 def read_profiles(spark: SparkSession, paths, multi_line: bool = True) -> DataFrame:
-    return profiles_from_cells(read_cells(spark, paths, multi_line))
+    """Profiles from CSV files; as :func:`read_events`."""
+    if not multi_line:
+        return profiles_from_cells(read_cells(spark, paths))
+    fixed = ("$distinct_id",)
+    return _rows_with(spark, paths, fixed).select(
+        F.try_element_at("cells", F.lit("$distinct_id")).alias("distinct_id"), _props_of_rows(fixed).alias("properties")
+    )

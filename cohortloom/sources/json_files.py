@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import properties as P
+from .splits import json_items
 
 EVENT_JSON = "event string, properties map<string,variant>"
 PROFILE_JSON = "`$distinct_id` string, distinct_id string, `$properties` map<string,variant>"
@@ -12,10 +13,26 @@ _BAD = "_corrupt_record"
 
 
 def _read(spark: SparkSession, paths, schema: str, whole_file: bool, fail_fast: bool) -> DataFrame:
-    reader = spark.read.option("multiLine", whole_file)
+    if whole_file:
+        return _read_items(spark, paths, schema, fail_fast)
     if fail_fast:
-        return reader.schema(schema).option("mode", "FAILFAST").json(paths)
-    return reader.schema(f"{schema}, {_BAD} string").option("columnNameOfCorruptRecord", _BAD).json(paths)
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+    return spark.read.schema(f"{schema}, {_BAD} string").option("columnNameOfCorruptRecord", _BAD).json(paths)
+
+
+def _read_items(spark: SparkSession, paths, schema: str, fail_fast: bool) -> DataFrame:
+    """Items of JSON arrays, parsed one by one; an item its file cuts off is a bad one."""
+    items = json_items(spark, paths)
+    if fail_fast:
+        cut_off = F.raise_error(F.concat(F.lit("JSON array without an end: "), F.substring("record", 1, 200)))
+        record = F.when(F.col("whole"), F.col("record")).otherwise(cut_off)
+        return items.select(F.from_json(record, schema, {"mode": "FAILFAST"}).alias("_i")).select("_i.*")
+    options = {"columnNameOfCorruptRecord": _BAD}
+    parsed = items.select("*", F.from_json("record", f"{schema}, {_BAD} string", options).alias("_i"))
+    good = F.when(F.col("whole"), F.col("_i"))
+    names = [n for n in parsed.schema["_i"].dataType.names if n != _BAD]
+    bad = F.when(F.col("whole"), F.col(f"_i.{_BAD}")).otherwise(F.col("record"))
+    return parsed.select(*[good[n].alias(n) for n in names], bad.alias(_BAD))
 
 
 def read_events(
@@ -25,7 +42,7 @@ def read_events(
 
     A bad line stops the read; with ``fail_fast`` off it is kept in
     ``_corrupt_record`` instead. ``whole_file`` reads files that hold one JSON
-    array or one object; such files cannot be split, so convert them once.
+    array or one object; arrays are split over tasks, whatever their lines.
     """
     df = _read(spark, paths, EVENT_JSON, whole_file, fail_fast)
     extra = [] if fail_fast else [_BAD]

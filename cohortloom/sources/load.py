@@ -45,9 +45,8 @@ def load_events(spark: SparkSession, data) -> DataFrame:
         parts.append(json_files.read_events(spark, paths))
     if paths := found.get(detect.JSON_ARRAY):
         parts.append(json_files.read_events(spark, paths, whole_file=True))
-    # Headers may differ from file to file.
-    for path in found.get(detect.CSV_EVENTS, []):
-        parts.append(raw_events(csv_files.read_events(spark, path)))
+    if paths := found.get(detect.CSV_EVENTS):
+        parts.append(raw_events(csv_files.read_events(spark, paths)))
     return _union(parts, "events")
 
 
@@ -73,8 +72,8 @@ def load_profiles(spark: SparkSession, data) -> DataFrame:
         parts.append(json_files.read_profiles(spark, paths))
     if paths := found.get(detect.JSON_ARRAY):
         parts.append(json_files.read_profiles(spark, paths, whole_file=True))
-    for path in found.get(detect.CSV_PROFILES, []):
-        parts.append(csv_files.read_profiles(spark, path))
+    if paths := found.get(detect.CSV_PROFILES):
+        parts.append(csv_files.read_profiles(spark, paths))
     return _union(parts, "profiles")
 
 
