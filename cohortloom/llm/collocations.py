@@ -7,9 +7,9 @@
 2. *Count*: an n-gram belongs to the chunk in which it starts before the last ``OVERLAP`` words,
    which is one chunk, and lies in it whole. So n-grams are counted inside
    distinct chunks, each weighted by its frequency.
-3. Phrases grow word by word. One of ``m`` words can be frequent only if both of its
-   phrases of ``m - 1`` words are; a bitmap of fixed size over the hashes of the frequent ones
-   lets tasks pass over the others. It only saves work: what it lets through is counted exactly, by text.
+3. Words and pairs are counted first, in one pass over the dictionary. A longer phrase can be
+   frequent only if all its pairs are; a bitmap of fixed size over the hashes of the frequent ones lets
+   the second pass go over the others. It only saves work: what it lets through is counted exactly, by text.
 4. Every cut of a frequent phrase into two is scored; both parts are frequent as well, so their
    counts are at hand.
 """
@@ -50,7 +50,7 @@ _TOKENS = 1_500_000
 _HELD_BYTES = 64_000_000
 #: Parts of a language's candidates that are ranked before their best ones are ranked together.
 _RANK_PARTS = 128
-_COUNTS = "lang string, phrase string, n long"
+_COUNTS = "lang string, phrase string, size int, n long"
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -124,47 +124,54 @@ class _Numbers(dict):
         return number
 
 
-def phrase_hashes(lang: str, hashes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of the phrases of ``size`` words, per language."""
-    return mix64(windows(hashes, size) + np.uint64(xxhash.xxh64_intdigest(lang)))
+def pair_bits(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """Place in the bitmap of each two consecutive words of a language."""
+    return mix64(windows(hashes, 2) + np.uint64(xxhash.xxh64_intdigest(lang))) >> np.uint64(64 - FILTER_BITS)
 
 
 def count_in_chunks(
-    lang: str, chunks: list[bytes], weights: np.ndarray, size: int, likely: np.ndarray | None
-) -> tuple[list[bytes], np.ndarray]:
-    """Phrases of ``size`` words and their counts in the chunks.
+    lang: str, chunks: list[bytes], weights: np.ndarray, sizes: range, likely: np.ndarray | None = None
+) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """For each of the sizes the phrases of so many words and their counts in the chunks.
 
-    Phrases are told apart by a hash, then compared with one that has it word by word;
-    those that only share the hash are told apart by their words.
+    All words together are the phrase without any. With ``likely``, a bitmap of pairs, a phrase
+    with a pair outside of it is passed over. Phrases are told apart by a hash, then compared
+    word by word with one that has it; those that only share the hash are told apart by their words.
     """
     tokens = b" ".join(chunks).split(b" ")
-    sizes = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
+    lengths = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
     numbers = _Numbers()
     ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
-    is_break = ids == numbers.get(_WRITTEN, -1)
-    ends = np.cumsum(sizes)
-    starts = np.ones(len(tokens), bool)
+    weight = np.repeat(weights, lengths)
+    is_word = ids != numbers.get(_WRITTEN, -1)
+    starts = is_word.copy()
     for i in range(OVERLAP):
-        starts[ends - 1 - i] = False
-    starts &= ~is_break
-    weight = np.repeat(weights, sizes)
-    if size == 1:
+        starts[np.cumsum(lengths) - 1 - i] = False
+    if 1 in sizes:
         counts = np.zeros(len(numbers), np.int64)
         np.add.at(counts, ids[starts], weight[starts])
-        some = np.flatnonzero(counts)
-        words = list(numbers)
-        return [b"", *(words[i] for i in some.tolist())], np.concatenate([[counts.sum()], counts[some]])
-    for i in range(1, size):
-        starts[:-i] &= ~is_break[i:]
-        starts[-i:] = False
+        some, words = np.flatnonzero(counts), list(numbers)
+        yield 1, [b"", *(words[i] for i in some.tolist())], np.concatenate([[counts.sum()], counts[some]])
+    if sizes[-1] == 1:
+        return
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))[ids]
-    shorter = phrase_hashes(lang, hashes, size - 1) >> np.uint64(64 - FILTER_BITS)
-    is_likely = (likely[(shorter >> np.uint64(3)).astype(np.int64)] >> (shorter & np.uint64(7)).astype(np.uint8)) & 1
     at = np.flatnonzero(starts)
-    at = at[(is_likely[at] & is_likely[at + 1]) == 1]
-    if not len(at):
-        return [], np.empty(0, np.int64)
-    _, first, which = np.unique(windows(hashes, size)[at], return_index=True, return_inverse=True)
+    if likely is not None:
+        pairs = pair_bits(lang, hashes)
+        hit = (likely[(pairs >> np.uint64(3)).astype(np.int64)] >> (pairs & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    for size in range(2, sizes[-1] + 1):
+        at = at[is_word[at + size - 1]]
+        if likely is not None:
+            at = at[hit[at + size - 2]]
+        if size in sizes and len(at):
+            yield size, *_told_apart(tokens, ids, weight, at, size, windows(hashes, size)[at])
+
+
+def _told_apart(
+    tokens: list[bytes], ids: np.ndarray, weight: np.ndarray, at: np.ndarray, size: int, hashes: np.ndarray
+) -> tuple[list[bytes], np.ndarray]:
+    """The distinct phrases that start ``at`` these places, and their weights."""
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     model = at[first[which]]
     same = np.ones(len(at), bool)
     for i in range(size):
@@ -181,11 +188,11 @@ def count_in_chunks(
     return phrases, counts
 
 
-def count_phrases(dictionary: DataFrame, size: int, likely: bytes | None = None) -> DataFrame:
-    """``lang, phrase, n`` of the phrases of ``size`` words of a dictionary of chunks.
+def count_phrases(dictionary: DataFrame, sizes: range, likely: bytes | None = None) -> DataFrame:
+    """``lang, phrase, size, n`` of the phrases of so many words of a dictionary of chunks.
 
-    ``likely`` is a bitmap of :func:`likely_phrases` of one word less; phrases that cannot be
-    frequent by it are left out. Of single words all are counted, and all together as the empty phrase.
+    With ``likely``, a bitmap of :func:`likely_pairs`, phrases that cannot be frequent
+    by it are left out. All words of a language together count as the empty phrase, of size 1.
     """
     shared = dictionary.sparkSession.sparkContext.broadcast(likely)
 
@@ -196,13 +203,19 @@ def count_phrases(dictionary: DataFrame, size: int, likely: bytes | None = None)
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, (chunks, weights) in waiting.items():
-                phrases, counts = count_in_chunks(lang, chunks, np.array(weights, np.int64), size, bits)
-                for i in range(0, len(phrases), 200_000):
-                    texts = pa.array(phrases[i : i + 200_000], pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(texts), pa.string()), texts, pa.array(counts[i : i + 200_000], pa.int64())],
-                        ["lang", "phrase", "n"],
-                    )
+                for size, phrases, counts in count_in_chunks(lang, chunks, np.array(weights, np.int64), sizes, bits):
+                    for i in range(0, len(phrases), 200_000):
+                        texts = pa.array(phrases[i : i + 200_000], pa.binary()).cast(pa.string())
+                        n = len(texts)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([lang] * n, pa.string()),
+                                texts,
+                                pa.array(np.full(n, size, np.int32)),
+                                pa.array(counts[i : i + 200_000], pa.int64()),
+                            ],
+                            ["lang", "phrase", "size", "n"],
+                        )
 
         for batch in batches:
             for lang, chunk, n in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist()):
@@ -216,25 +229,25 @@ def count_phrases(dictionary: DataFrame, size: int, likely: bytes | None = None)
         yield from flush()
 
     counted = dictionary.select("lang", "chunk", "n").mapInArrow(task, _COUNTS)
-    return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
-def likely_phrases(frequent: DataFrame, size: int) -> bytes:
-    """Bitmap over the hashes of phrases of ``size`` words; at most 8 MB come to the driver."""
+def likely_pairs(pairs: DataFrame) -> bytes:
+    """Bitmap over the hashes of pairs of words (``lang, phrase``); at most 8 MB come to the driver."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = np.fromiter(map(xxhash.xxh64_intdigest, batch.column(0).to_pylist()), np.uint64, batch.num_rows)
-            phrases = as_bytes(batch.column(1))
-            flat = np.fromiter((xxhash.xxh64_intdigest(w) for p in phrases for w in p.split(b" ")), np.uint64)
-            mixed = windows(flat, size)[::size] if len(flat) else flat
-            bit = mix64(mixed + seeds) >> np.uint64(64 - FILTER_BITS)
+            bits = [
+                pair_bits(lang, np.array([xxhash.xxh64_intdigest(w) for w in pair.split(b" ")], np.uint64))[0]
+                for lang, pair in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)))
+            ]
+            bit = np.array(bits, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array((bit >> np.uint64(6)).astype(np.int32)), pa.array((bit & np.uint64(63)).astype(np.int32))],
                 ["at", "bit"],
             )
 
-    hashed = frequent.select("lang", "phrase").mapInArrow(task, "at int, bit int")
+    hashed = pairs.select("lang", "phrase").mapInArrow(task, "at int, bit int")
     table = hashed.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bits[table.column("at").to_numpy()] = table.column("bits").to_numpy()
@@ -264,20 +277,14 @@ def collocations(
     frequent, give none. Other columns of ``docs`` are not read.
     """
     dictionary = work.cut(parse(docs, lang_col, text_col))
-    levels, likely = [], None
-    for size in range(1, MAX_WORDS + 1):
-        counted = count_phrases(dictionary, size, likely).filter((F.col("n") >= least) | (F.col("phrase") == ""))
-        levels.append(work.cut(counted.withColumn("size", F.lit(size))))
-        if size < MAX_WORDS:
-            likely = likely_phrases(levels[-1].filter("phrase <> ''"), size)
+    frequent = (F.col("n") >= least) | (F.col("phrase") == "")
+    short = work.cut(count_phrases(dictionary, range(1, 3)).filter(frequent))
+    pairs = short.filter("size = 2")
+    longer = work.cut(count_phrases(dictionary, range(3, MAX_WORDS + 1), likely_pairs(pairs)).filter(frequent))
     work.forget(dictionary)
-    totals = levels[0].filter("phrase = ''").select("lang", F.col("n").alias("total"))
-    frequent = levels[0].filter("phrase <> ''")
-    candidates = levels[1]
-    for level in levels[2:]:
-        candidates = candidates.unionByName(level)
-    frequent = frequent.unionByName(candidates)
-    scored = work.cut(_scored(candidates, frequent, totals))
+    totals = short.filter("phrase = ''").select("lang", F.col("n").alias("total"))
+    candidates = pairs.unionByName(longer)
+    scored = work.cut(_scored(candidates, short.filter("phrase <> ''").unionByName(longer), totals))
     return work.result(_ranked(_uncovered(scored, candidates, covered_percent), top))
 
 

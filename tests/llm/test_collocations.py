@@ -75,8 +75,8 @@ def test_chunks_count_each_phrase_once(docs, rows):
     everything = np.full(1 << (C.FILTER_BITS - 3), 255, np.uint8)
     for lang, want in counts.items():
         mine = [r for r in dictionary if r["lang"] == lang]
-        for size in range(1, 6):
-            phrases, n = C.count_in_chunks(lang, [r["chunk"].encode() for r in mine], np.array([r["n"] for r in mine]), size, everything)
+        chunks, weights = [r["chunk"].encode() for r in mine], np.array([r["n"] for r in mine])
+        for size, phrases, n in C.count_in_chunks(lang, chunks, weights, range(1, 6), everything):
             found = dict(zip([p.decode() for p in phrases], n.tolist()))
             assert found.pop("", None) == (sum(v for g, v in want.items() if len(g) == 1) if size == 1 else None)
             assert found == {" ".join(g): v for g, v in want.items() if len(g) == size}
@@ -88,7 +88,7 @@ def test_equal_hashes_are_told_apart(monkeypatch):
     everything = np.full(1 << (C.FILTER_BITS - 3), 255, np.uint8)
     windows = C.windows
     monkeypatch.setattr(C, "windows", lambda h, size: windows(h, size) % np.uint64(2))
-    phrases, n = C.count_in_chunks("en", [chunk], np.array([3]), 2, everything)
+    ((_, phrases, n),) = C.count_in_chunks("en", [chunk], np.array([3]), range(2, 3), everything)
     found = Counter()
     for p, c in zip(phrases, n.tolist()):
         found[p] += c
