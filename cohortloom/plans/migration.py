@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import properties as P
 from ..functions import text as X
 from ..functions import times as T
+from ..operators import identities as I
 from ..operators import migration as M
 from ..operators import updates as U
 from ..session import cut_lineage, scratch_path
@@ -221,3 +222,28 @@ def amplitude_load_v3(spark, sf_dir):
     export_events(parts["events"], path, compress=True)
     read = shape_events(json_files.read_events(spark, path))
     return read.groupBy("event", "distinct_id", "time").agg(F.count(F.lit(1)).alias("n"))
+
+
+@plan(
+    f"""
+WITH RECURSIVE {_RAW}, pairs AS (
+  SELECT DISTINCT user_id AS a, amplitude_id AS b FROM raw WHERE has_user
+  UNION SELECT CAST(uid + 1000 AS VARCHAR), CAST(uid + 1001 AS VARCHAR) FROM raw WHERE uid % 25 <> 24
+  UNION SELECT CAST(uid + 1000 AS VARCHAR), CAST(uid + 976 AS VARCHAR) FROM raw WHERE uid % 25 = 24 AND uid % 2 = 0),
+arcs AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach AS (SELECT a AS id, a AS other FROM arcs UNION SELECT r.id, arcs.b FROM reach r JOIN arcs ON r.other = arcs.a),
+clusters AS (SELECT id, min(other) AS canonical FROM reach GROUP BY id)
+SELECT event_id, {_WHO} AS distinct_id, coalesce(canonical, {_WHO}) AS person FROM raw LEFT JOIN clusters ON id = {_WHO}
+"""
+)
+def identity_clusters(spark, sf_dir):
+    """Events by person: merges of the export, chains of vendor ids, every other chain closed to a cycle."""
+    rows = cut_lineage(records(spark, sf_dir))
+    users = D.table(spark, sf_dir, "events").select("user_id").where("user_id IS NOT NULL").distinct()
+    name = lambda shift: (F.col("user_id") + shift).cast("string")
+    closes = F.when((F.col("user_id") % 25 == 24) & (F.col("user_id") % 2 == 0), name(976))
+    following = F.when(F.col("user_id") % 25 != 24, name(1001)).otherwise(closes)
+    chains = users.select(name(1000).alias("id_a"), following.alias("id_b"))
+    clusters = I.identity_clusters(M.merge_pairs(rows).unionByName(chains))
+    events = _ids(M.transform_events(rows)).select("event_id", "distinct_id", F.col("distinct_id").alias("person"))
+    return I.merge_identities(events, clusters, "person")
