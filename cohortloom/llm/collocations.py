@@ -50,6 +50,8 @@ _TOKENS = 1_500_000
 _HELD_BYTES = 64_000_000
 #: Parts of a language's candidates that are ranked before their best ones are ranked together.
 _RANK_PARTS = 128
+#: Shares over which a language's cuts are dealt to meet its number of words.
+_SHARES = 64
 _COUNTS = "lang string, phrase string, size int, n long"
 
 
@@ -303,7 +305,10 @@ def _scored(candidates: DataFrame, frequent: DataFrame, totals: DataFrame) -> Da
         counts = frequent.select("lang", F.col("phrase").alias(side), F.col("n").alias(count))
         cuts = lookup_join(cuts, counts, ["lang", side], salt=["phrase", "k"])
     exact = lambda c: F.col(c).cast("decimal(38,0)")
-    with_total = lookup_join(cuts, totals, ["lang"], salt=["phrase", "k"])
+    # Totals are repeated for each share of a language, so that no language is one task's.
+    shares = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).cast("int").alias("share")
+    dealt = cuts.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(_SHARES)).cast("int"))
+    with_total = dealt.join(totals.select("lang", "total", shares), ["lang", "share"])
     score = F.expr("(1000 * big_a * big_n) div (big_l * big_r)").alias("score")
     return (
         with_total.select("*", *[exact(c).alias(f"big_{b}") for c, b in (("a", "a"), ("total", "n"), ("l", "l"), ("r", "r"))])
