@@ -306,7 +306,7 @@ def _scored(candidates: DataFrame, frequent: DataFrame, totals: DataFrame) -> Da
         cuts = lookup_join(cuts, counts, ["lang", side], salt=["phrase", "k"])
     exact = lambda c: F.col(c).cast("decimal(38,0)")
     # Totals are repeated for each share of a language, so that no language is one task's.
-    shares = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).cast("int").alias("share")
+    shares = F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share")
     dealt = cuts.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(_SHARES)).cast("int"))
     with_total = dealt.join(totals.select("lang", "total", shares), ["lang", "share"])
     score = F.expr("(1000 * big_a * big_n) div (big_l * big_r)").alias("score")
