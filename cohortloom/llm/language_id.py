@@ -11,6 +11,7 @@ probability over all its segmentations.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -24,10 +25,6 @@ from pyspark.sql import functions as F
 from cohortloom.session import ship_package
 
 UNKNOWN_LANGUAGE = "und"
-#: Pieces of so many characters at most, the mark of a word's start included.
-MAX_PIECE = 8
-#: Longer words are cut into parts of this length, so that no product underflows.
-MAX_WORD = 32
 _START = "▁"
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 250_000
@@ -42,16 +39,13 @@ def pieces(path: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     found = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    usable = (p for p in found if len(p) <= MAX_PIECE and p == p.lower() and (p.removeprefix(_START).isalpha() or p == _START))
+    usable = (p for p in found if p == p.lower() and (p.removeprefix(_START).isalpha() or p == _START))
     return {p: i for i, p in enumerate(dict.fromkeys(usable))}
 
 
 def text_words(text: str) -> list[str]:
-    """Runs of letters in lower case, long ones cut into parts."""
-    words = _WORD.findall(text.lower())
-    if words and max(map(len, words)) > MAX_WORD:
-        words = [w[i : i + MAX_WORD] for w in words for i in range(0, len(w), MAX_WORD)]
-    return words
+    """Runs of letters in lower case."""
+    return _WORD.findall(text.lower())
 
 
 def _has_letter(words: list[str]) -> bool:
@@ -61,61 +55,77 @@ def _has_letter(words: list[str]) -> bool:
 def piece_ids(words: list[str], vocabulary: dict[str, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Words by length: their places, and the piece of each length ending at each character.
 
-    The second array is (character, piece length - 1, word). Where no piece
-    fits it holds ``len(vocabulary) + 1``, whose probability is 0; a character
-    that is no piece itself is ``len(vocabulary)``, the unknown one.
+    The second array is (character, piece length - 1, word), up to the longest piece
+    there is. Where no piece fits it holds ``len(vocabulary) + 1``, whose probability is 0; a
+    character that is no piece itself is ``len(vocabulary)``, the unknown one.
     """
     get, unknown, none = vocabulary.get, len(vocabulary), len(vocabulary) + 1
+    longest = max(map(len, vocabulary), default=1)
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         by_length.setdefault(len(w) + 1, []).append(i)
     for length, places in by_length.items():
         marked = [_START + words[i] for i in places]
-        ids = np.full((length, MAX_PIECE, len(marked)), none, np.int32)
+        ids = np.full((length, min(longest, length), len(marked)), none, np.int32)
         for end in range(1, length + 1):
             ids[end - 1, 0] = [get(w[end - 1 : end], unknown) for w in marked]
-            for n in range(2, min(end, MAX_PIECE) + 1):
+            for n in range(2, min(end, longest) + 1):
                 ids[end - 1, n - 1] = [get(w[end - n : end], none) for w in marked]
         yield np.array(places), ids
 
 
-def forward(ids: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Probability of the first characters, (characters + 1, words, languages)."""
-    length, _, n = ids.shape
-    alpha = np.zeros((length + 1, n, p.shape[1]))
-    alpha[0] = 1.0
+def forward(ids: np.ndarray, p: np.ndarray, shares: np.ndarray | None = None) -> np.ndarray:
+    """Probability of the first characters over that of one character less, (characters + 1, words, languages).
+
+    Ratios, since the probabilities themselves underflow in long words. ``before`` has for
+    each length of a last piece what is ahead of it over what is ahead of the last character;
+    ``shares`` takes for each piece the part of the probability that ends with it.
+    """
+    length, longest, n = ids.shape
+    ratios = np.ones((length + 1, n, p.shape[1]))
+    before = np.zeros((longest, n, p.shape[1]))
+    before[0] = 1.0
     for end in range(1, length + 1):
-        for k in range(1, min(end, MAX_PIECE) + 1):
-            alpha[end] += alpha[end - k] * p[ids[end - 1, k - 1]]
-    return alpha
+        before[1:] = before[:-1] / ratios[end - 1]
+        before[0] = 1.0
+        if end == 1:
+            before[1:] = 0.0
+        ends_with = p[ids[end - 1]] * before
+        ratios[end] = ends_with.sum(axis=0)
+        if shares is not None:
+            shares[end - 1] = (ends_with / ratios[end])[:, :, 0]
+    return ratios
 
 
 def word_log_probabilities(words: list[str], vocabulary: dict[str, int], p: np.ndarray) -> np.ndarray:
     """(words, languages): the logarithm of each word's sum over its segmentations."""
     out = np.empty((len(words), p.shape[1]))
     for places, ids in piece_ids(words, vocabulary):
-        out[places] = np.log(forward(ids, p)[-1])
+        out[places] = np.log(forward(ids, p)).sum(axis=0)
     return out
 
 
 def learn_pieces(words: list[str], counts: np.ndarray, vocabulary: dict[str, int], rounds: int = 3) -> np.ndarray:
-    """Piece probabilities of one language by expectation maximisation, from equal ones."""
+    """Piece probabilities of one language by expectation maximisation, from equal ones.
+
+    Backwards, each character's share of being a border is dealt to the pieces that end there.
+    """
     size = len(vocabulary)
     groups = list(piece_ids(words, vocabulary))
     p = np.append(np.full(size, 1.0 / size), [_UNKNOWN_CHARACTER, 0.0])
     for _ in range(rounds):
         expected = np.zeros(size + 2)
         for places, ids in groups:
-            length, n = ids.shape[0], ids.shape[2]
-            alpha = forward(ids, p[:, None])[:, :, 0]
-            beta = np.zeros((length + 1, n))
-            beta[length] = counts[places] / alpha[length]
+            length, longest, n = ids.shape
+            shares = np.empty(ids.shape)
+            forward(ids, p[:, None], shares)
+            border = np.zeros((length + 1, n))
+            border[length] = counts[places]
             for end in range(length, 0, -1):
-                for k in range(1, min(end, MAX_PIECE) + 1):
-                    at = ids[end - 1, k - 1]
-                    tail = p[at] * beta[end]
-                    expected += np.bincount(at, alpha[end - k] * tail, size + 2)
-                    beta[end - k] += tail
+                shares[end - 1] *= border[end]
+                first = max(0, end - longest)
+                border[first:end] += shares[end - 1, : end - first][::-1]
+            expected += np.bincount(ids.ravel(), shares.ravel(), size + 2)
         known = expected[:size] + _UNSEEN
         p[:size] = known / known.sum() * (1 - _UNKNOWN_CHARACTER)
     return p
@@ -133,8 +143,9 @@ def fit(
     """Learn from the texts of rows with a language that ``learn_from`` admits.
 
     Of each language a sample of ``max_docs`` documents on average is taken, by
-    the hash of the id. Its words are counted in Spark; each language's distinct
-    words go to one task, bounded by the sample. The model has one number per
+    the hash of the id, before anything is shuffled: what each language's share is, a
+    number per language of the model, goes to all tasks. The sample's words are counted in
+    Spark; each language's distinct words go to one task, bounded by the sample. The model has one number per
     piece and language, whatever the size of the input.
     """
     spark = docs.sparkSession
@@ -142,18 +153,24 @@ def fit(
     usable = docs.filter(learn_from).filter("lang IS NOT NULL AND text IS NOT NULL")
     share = usable.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count("*")).alias("share"))
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.select("lang", "text", place.alias("place")).join(share, "lang").filter("place < share")
+    sample = usable.select("lang", "text", place.alias("place")).join(F.broadcast(share), "lang").filter("place < share")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch["text"].map(text_words)
-            yield pd.DataFrame({"lang": batch["lang"].repeat(words.map(len)), "word": [w for ws in words for w in ws]})
+            counts: Counter[tuple[str, str]] = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts.update((lang, word) for word in text_words(text))
+            langs, words = zip(*counts) if counts else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(counts.values(), pa.int64())],
+                ["lang", "word", "n"],
+            )
 
     counted = (
         sample.select("lang", "text")
-        .mapInPandas(count, "lang string, word string")
+        .mapInArrow(count, "lang string, word string, n long")
         .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:

@@ -33,6 +33,22 @@ def test_forward_sums_all_segmentations(word):
     assert np.exp(found) == pytest.approx([all_segmentations(word, p[:, k]) for k in (0, 1)])
 
 
+def test_long_words_and_pieces_are_summed_whole():
+    p = np.random.default_rng(1).random((len(VOCABULARY) + 2, 1)) / 1000
+    p[-1] = 0
+    one = L.word_log_probabilities(["ab" * 2000, "x" * 3000], VOCABULARY, p)[:, 0]
+    matrix = np.log(np.longdouble(p[:-1, 0]))
+    logs = [np.longdouble(0)]
+    marked = "▁" + "ab" * 2000
+    for end in range(1, len(marked) + 1):
+        parts = [logs[end - k] + matrix[VOCABULARY[marked[end - k : end]]] for k in range(1, 5) if k <= end and marked[end - k : end] in VOCABULARY]
+        logs.append(np.logaddexp.reduce(parts))
+    assert one[0] == pytest.approx(float(logs[-1])) and np.isfinite(one[1])
+    assert max(map(len, L.pieces(PIECES))) == 16
+    learned = L.learn_pieces(["ab" * 2000], np.array([1.0]), VOCABULARY, 2)
+    assert np.isfinite(learned).all() and learned[VOCABULARY["ab"]] > learned[VOCABULARY["aba"]]
+
+
 def test_learning_makes_its_words_likelier():
     words, counts = ["ab", "aba", "b"], np.array([5.0, 3.0, 1.0])
     likelihood = []
@@ -69,3 +85,16 @@ def test_nothing_learned(spark, docs_of):
     model = L.fit(docs_of([]), PIECES, "true")
     assert {r["lang_pred"] for r in L.predict(docs_of([(1, "some text")]), model, PIECES).collect()} == {"und"}
     assert L.predict(docs_of([]), model, PIECES).count() == 0
+
+
+def test_the_sample_is_taken_before_a_shuffle(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plans, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a: plans.append(self) or real(self, *a))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        L.fit(docs, PIECES, "doc_id > 0", max_docs=5)
+        text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
