@@ -30,6 +30,33 @@ def _two_hashes(*parts: Column) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.xxhash64(F.lit(7), *parts)
 
 
+#: A place as one number: the id, 31 bits of the line's number, 31 of the hash of the text.
+_LINE, _TEXT = 1 << 31, (1 << 31) - 1
+_HALVES = [f"half_{i}" for i in range(4)]
+
+
+def _text_hash(text: Column) -> Column:
+    """What tells texts apart that share an id."""
+    return F.xxhash64(text).bitwiseAND(F.lit(_TEXT))
+
+
+def _place() -> Column:
+    """Id, line and text as one decimal of the same order, which hash aggregates keep in place."""
+    whole = F.col("doc_id").cast("decimal(20,0)") * F.lit(_LINE * _LINE).cast("decimal(19,0)")
+    return (whole + (F.col("line_no").cast("bigint") * _LINE + F.col("text_hash"))).cast("decimal(38,0)")
+
+
+def _with_parts(placed: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, line_no`` of the places in ``first``."""
+    size = f"CAST({_LINE * _LINE} AS DECIMAL(38,0))"
+    inner = placed.select("first", F.expr(f"CAST(pmod(first, {size}) AS BIGINT)").alias("inner"))
+    return inner.select(
+        F.expr(f"(first - inner) div {size}").alias("doc_id"),
+        F.expr(f"inner % {_LINE}L").alias("text_hash"),
+        F.expr(f"inner div {_LINE}L").alias("line_no"),
+    )
+
+
 def _is_full(line: Column) -> Column:
     return F.length(F.trim(line, F.lit(_SPACES))) > 0
 
@@ -51,12 +78,12 @@ def split_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(text).alias("text_hash"),
+        _text_hash(text).alias("text_hash"),
         F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
     ).filter(_is_full(F.col("line"))).withColumn("line", _spaced(F.col("line")))
 
 
-def _half_keys(line: Column, n: Column) -> Column:
+def _half_keys(line: Column, n: Column) -> list[Column]:
     """Keys of which two lines one word apart share one.
 
     The word in which they differ lies in the first or in the second half, so
@@ -69,7 +96,7 @@ def _half_keys(line: Column, n: Column) -> Column:
         low = F.floor(size / 2).cast("int")
         keys.append(F.xxhash64(F.lit(0), size, _ends(line, low)))
         keys.append(F.xxhash64(F.lit(1), size, _ends(line, -(size - low))))
-    return F.array(*keys)
+    return keys
 
 
 def _ends(line: Column, words: Column) -> Column:
@@ -81,7 +108,7 @@ def _near_lines(
     work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, min_words: int
 ) -> DataFrame:
     """``h1, h2`` of the distinct lines that have an earlier line one word apart."""
-    keyed = firsts.filter("half_keys IS NOT NULL").select("h1", "h2", F.explode("half_keys").alias("half"))
+    keyed = firsts.filter("half_0 IS NOT NULL").select("h1", "h2", F.explode(F.array(*_HALVES)).alias("half"))
     shared = keyed.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     likely = work.cut(keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct())
     h1, h2 = _two_hashes(F.col("line"))
@@ -89,9 +116,9 @@ def _near_lines(
     lines = work.cut(
         split_lines(docs, id_col, text_col)
         .filter(_word_count(F.col("line")) >= min_words)
-        .select("line", h1.alias("h1"), h2.alias("h2"), F.struct("doc_id", "line_no", "text_hash").alias("place"))
+        .select("line", h1.alias("h1"), h2.alias("h2"), "doc_id", "line_no", "text_hash")
         .join(own, ["h1", "h2"])
-        .filter(F.col("place") == F.col("first"))
+        .filter(_place() == F.col("first"))
         .dropDuplicates(["h1", "h2"])
         .select("h1", "h2", "first", "line", _word_count(F.col("line")).alias("n"))
     )
@@ -183,19 +210,19 @@ def dedup_lines(
         .select(
             h1.alias("h1"),
             h2.alias("h2"),
-            F.struct("doc_id", "line_no", "text_hash").alias("place"),
-            F.when(n >= min_words, _half_keys(F.col("line"), n)).alias("half_keys"),
+            _place().alias("place"),
+            *[F.when(n >= min_words, half).alias(name) for half, name in zip(_half_keys(F.col("line"), n), _HALVES)],
         )
         .groupBy("h1", "h2")
-        .agg(F.min("place").alias("first"), F.any_value("half_keys").alias("half_keys"))
+        # Equal lines have equal halves.
+        .agg(F.min("place").alias("first"), *[F.max(name).alias(name) for name in _HALVES])
     )
     near = work.cut(_near_lines(work, named, firsts, id_col, text_col, min_words))
     # The lines that stay, as bits: one integer for 64 lines of a text.
     bits = (
-        firsts.join(near, ["h1", "h2"], "left_anti")
-        .select("first.*")
+        _with_parts(firsts.join(near, ["h1", "h2"], "left_anti"))
         .groupBy("doc_id", "text_hash", F.floor(F.col("line_no") / 64).cast("int").alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, line_no % 64)")).alias("bits"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(line_no % 64 AS INT))")).alias("bits"))
         .groupBy("doc_id", "text_hash")
         .agg(F.map_from_entries(F.collect_list(F.struct("at", "bits"))).alias("by_at"), F.max("at").alias("last"))
         .select(
@@ -205,7 +232,7 @@ def dedup_lines(
         )
     )
     texts = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").alias("doc_id"), _text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text")
     )
     word = lambda i: F.coalesce(F.get("bits", F.floor(i / 64).cast("int")), F.lit(0))
     stays = lambda line, i: (
