@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortloom.llm.workspace import Workspace
@@ -18,10 +18,9 @@ def connected_components(work: Workspace, edges: DataFrame, a: str = "a", b: str
     group; the joins back are ordinary ones, which adaptive execution splits.
     Each round is written. Without edges there are no rows.
     """
-    current = work.cut(
-        edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).filter("node <> root").distinct()
+    current, state = _cut(
+        work, edges.select(F.greatest(a, b).alias("node"), F.least(a, b).alias("root")).filter("node <> root").distinct()
     )
-    state = _state(current)
     while state[0]:
         both = current.unionByName(current.select(F.col("root").alias("node"), F.col("node").alias("root")))
         least = both.groupBy("node").agg(F.min("root").alias("low")).select("node", F.least("node", "low").alias("low"))
@@ -31,15 +30,18 @@ def connected_components(work: Workspace, edges: DataFrame, a: str = "a", b: str
         large = work.cut(large)
         low = large.groupBy("node").agg(F.min("root").alias("low"))
         lower = large.join(low, "node").filter("root <> low").select(F.col("root").alias("node"), F.col("low").alias("root"))
-        old, current = current, work.cut(low.withColumnRenamed("low", "root").unionByName(lower).distinct())
+        old, before = current, state
+        current, state = _cut(work, low.withColumnRenamed("low", "root").unionByName(lower).distinct())
         work.forget(old)
         work.forget(large)
-        before, state = state, _state(current)
         if state == before:
             break
     return current
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "root").bitwiseAND(F.lit((1 << 31) - 1)))).first()
-    return row[0], row[1] or 0
+def _cut(work: Workspace, edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """Written edges, and their number and a sum over them, which the write itself observes."""
+    seen = Observation()
+    hashed = F.xxhash64("node", "root").bitwiseAND(F.lit((1 << 31) - 1))
+    cut = work.cut(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(hashed), F.lit(0)).alias("sum")))
+    return cut, (seen.get["n"], seen.get["sum"])

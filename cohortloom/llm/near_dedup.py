@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cohortloom.llm.components import connected_components
@@ -50,7 +50,7 @@ FULL_BITS = 2048
 _FULL_WORDS = FULL_BITS // 64
 #: Standard deviations that the bitmaps of full sets may be above their mean.
 _SIGMAS = 5.0
-_SIGNATURE = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+_SIGNATURE = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 
 
 def minhash(shingles: np.ndarray) -> np.ndarray:
@@ -106,7 +106,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row the size and digest of its shingle set, band keys and sketch; empty sets have none."""
+    """Per row a hash of its text, size and digest of its shingle set, band keys and sketch; empty sets have none."""
     ship_package(docs.sparkSession)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         none = np.empty(0, np.int64)
         for batch in batches:
             sizes, digests, bands, sketches = [], [], [], []
-            for text in as_bytes(batch.column(1)):
+            for text in as_bytes(batch.column(2)):
                 s = shingle_set(text, words)
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
@@ -124,15 +124,17 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     _lists(bands, pa.int64()),
                     _lists(sketches, pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "digest", "bands", "sketch"],
+                ["doc_id", "text_hash", "n_shingles", "digest", "bands", "sketch"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(task, _SIGNATURE)
 
 
@@ -186,17 +188,23 @@ def _close(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 def _confirm(
     work: Workspace, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, id_col: str, text_col: str
-) -> DataFrame:
-    """Of the pairs ``a, b`` those whose full sets are similar enough."""
+) -> tuple[DataFrame, int]:
+    """Of the pairs ``a, b`` those whose full sets are similar enough, and their number."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = work.cut(_full_sets(docs, nodes.join(wanted, "node", "left_semi"), id_col, text_col))
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - common
-    links = work.cut(pairs.join(two, "b").join(one, "a").filter(100 * common >= percent * union).select("a", "b"))
+    links, n = _counted_cut(work, pairs.join(two, "b").join(one, "a").filter(100 * common >= percent * union).select("a", "b"))
     work.forget(sets)
-    return links
+    return links, n
+
+
+def _counted_cut(work: Workspace, df: DataFrame) -> tuple[DataFrame, int]:
+    """A written cut and its rows, counted by the write itself."""
+    seen = Observation()
+    return work.cut(df.observe(seen, F.count(F.lit(1)).alias("n"))), seen.get["n"]
 
 
 def _block_pairs(blocks: DataFrame, percent: int) -> DataFrame:
@@ -290,6 +298,11 @@ def near_duplicates(
     and the odd sketch of its samples with 6e-10 and 2.2e-8, by exact sums over
     differing samples and parities; components make that rarer still.
     """
+    return work.result(_judged(work, docs, percent, id_col, text_col).drop("text_hash", "root"))
+
+
+def _judged(work: Workspace, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``near_duplicates`` returns, with the hash of each row's text and what stands for its group."""
     rows = work.cut(signatures(docs, id_col, text_col))
     usable = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     nodes = work.cut(
@@ -307,7 +320,7 @@ def near_duplicates(
     members = work.cut(keyed.join(shared, "key").select("key", "node", "center"))
     stars = members.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     tested = work.cut(_close(nodes, stars, percent))
-    links = _confirm(work, docs, nodes, tested, percent, id_col, text_col)
+    links, _ = _confirm(work, docs, nodes, tested, percent, id_col, text_col)
     roots = connected_components(work, links)
     for turn in range(_STARS + 1):
         rooted = work.cut(_several_roots(members, roots))
@@ -315,22 +328,26 @@ def near_duplicates(
             pairs = _close(nodes, _star_pairs(rooted, turn), percent)
         else:
             pairs = _rest_pairs(rooted, nodes, percent)
-        fresh = work.cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        if fresh.isEmpty():
+        fresh, n_fresh = _counted_cut(work, pairs.join(tested, ["a", "b"], "left_anti"))
+        if not n_fresh:
+            continue
+        tested = tested.unionByName(fresh)
+        links, n_links = _confirm(work, docs, nodes, fresh, percent, id_col, text_col)
+        if not n_links:
             continue
-        links = _confirm(work, docs, nodes, fresh, percent, id_col, text_col)
         known = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = connected_components(work, links.unionByName(known))
-        tested = tested.unionByName(fresh)
     rooted = nodes.join(roots, "node", "left").select("digest", "rep", F.coalesce("root", "node").alias("root"))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = work.cut(rooted.join(named, "root").select("digest", "component_id"))
+    classes = work.cut(rooted.join(named, "root").select("digest", "component_id", "root"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return work.result(
-        rows.select("doc_id", "n_shingles", "digest")
+    return (
+        rows.select("doc_id", "text_hash", "n_shingles", "digest")
         .join(classes, "digest", "left")
         .select(
             "doc_id",
+            "text_hash",
+            "root",
             "n_shingles",
             component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
@@ -341,12 +358,16 @@ def near_duplicates(
 def keep_one_per_group(
     work: Workspace, docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is the smallest of their group.
+    """One row of ``docs`` per group, all columns: that with the smallest id.
 
-    Of rows equal in id and text one stays; rows with a null id stay. The join
-    on ids already has what the removal of repeated rows needs together.
+    Of several rows of the group with that id one stays, of the text with the least hash;
+    an id that stands on texts of different groups is judged in each. Texts without
+    words are in no group: of those equal in id and text one stays. Rows with a null id stay.
     """
-    chosen = near_duplicates(work, docs, percent, id_col, text_col).filter("kept").select("doc_id").distinct()
+    judged = work.cut(_judged(work, docs, percent, id_col, text_col).filter("doc_id IS NOT NULL AND kept"))
+    group = F.when(F.col("n_shingles") == 0, F.col("text_hash")).otherwise(F.col("root"))
+    chosen = judged.groupBy("doc_id", F.col("n_shingles") == 0, group).agg(F.min("text_hash").alias("text_hash"))
     named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(chosen, named[id_col].cast("long") == chosen["doc_id"], "left_semi")
+    same = (named[id_col].cast("long") == chosen["doc_id"]) & (F.xxhash64(named[text_col].cast("string")) == chosen["text_hash"])
+    kept = named.join(chosen.select("doc_id", "text_hash"), same, "left_semi")
     return kept.dropDuplicates([id_col, text_col]).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -121,3 +121,14 @@ def test_components_are_those_of_union_find(spark, work):
         root[y] = x
     found = connected_components(work, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["root"] for r in found} == {n: find(n) for n in root if find(n) != n}
+
+
+def test_one_id_on_texts_of_several_groups(work, docs_of):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    near = a + " more"
+    docs = [(2, a), (4, b), (4, a), (5, near), (6, c), (6, c + " x"), (6, c), (7, ""), (7, None), (7, " "), (None, a),
+            (8, d), (8, e), (9, d + " more"), (9, e + " more")]
+    kept = sorted(((r["doc_id"] or 0, r["text"] or "-") for r in N.keep_one_per_group(work, docs_of(docs)).collect()))
+    (six,) = [t for i, t in kept if i == 6]
+    assert six in (c, c + " x")
+    assert kept == sorted([(2, a), (4, b), (6, six), (7, "-"), (7, "-"), (7, " "), (0, a), (8, d), (8, e)])
