@@ -113,14 +113,30 @@ def csv_profiles(spark, sf_dir):
 def csv_groups_all(spark, sf_dir):
     """Group profiles of all types as CSV, a folder per type, read back with their type."""
     path = scratch_path(spark, "csv-groups-all")
-    groups = D.groups(spark, sf_dir)
-    types = sorted(r[0] for r in groups.select("group_type").distinct().collect())
-    read = []
-    for name in types:
-        folder = f"{path}/group_type={name}"
-        X.export_profiles(groups.where(F.col("group_type") == name), folder, "csv", id_col="group_id")
-        read.append(csv_files.read_profiles(spark, folder).withColumn("group_type", F.lit(name)))
-    return X.long_form(reduce(DataFrame.unionByName, read), "group_type", "distinct_id")
+    X.export_groups(D.groups(spark, sf_dir), path)
+    read = csv_files.read_groups(spark, path).withColumnRenamed("group_id", "distinct_id")
+    return X.long_form(read, "group_type", "distinct_id")
+
+
+@plan(
+    f"""
+SELECT * FROM ({D.CUSTOMER_PROPS})
+UNION ALL SELECT {D.UID} || '-' || CAST(event_id AS VARCHAR), 'type', '"' || event_type || '"' FROM events WHERE user_id IS NOT NULL
+UNION ALL SELECT {D.UID} || '-' || CAST(event_id AS VARCHAR), event_type, CAST(event_id AS VARCHAR) FROM events WHERE user_id IS NOT NULL
+"""
+)
+def csv_append(spark, sf_dir):
+    """Profiles as CSV, then more with other properties appended; each file read by its own header."""
+    path = scratch_path(spark, "csv-append")
+    X.export_profiles(D.customers(spark, sf_dir), path, "csv")
+    t = D.table(spark, sf_dir, "events").where("user_id IS NOT NULL")
+    number = F.col("event_id").cast("string")
+    later = t.select(
+        F.concat(D.text_id("user_id"), F.lit("-"), number).alias("distinct_id"),
+        F.create_map(F.lit("type"), P.json_text("event_type", "string"), F.col("event_type"), number).alias("properties"),
+    )
+    X.export_profiles(later, path, "csv", append=True)
+    return X.long_form(csv_files.read_profiles(spark, path), "distinct_id")
 
 
 @plan(

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import csv
+import json
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import properties as P
 from ..functions import times
 from ..operators.events import raw_events
+from ..session import delete_path, scratch_path, ship_package
+from ..sources.files import list_folder, open_file
 
 
 def event_json(events: DataFrame, *keep: str) -> DataFrame:
@@ -80,6 +86,99 @@ def write_csv(
     ).csv(path)
 
 
+class _Lines(list):
+    """What a CSV writer writes, a line each."""
+
+    write = list.append
+
+
+def _catalogue(folder: str) -> dict[str | None, dict[str, int]]:
+    """Per type the cell of each name, from the written names in their order."""
+    cells: dict[str | None, dict[str, int]] = {}
+    for path in list_folder(folder):
+        with open_file(path) as file:
+            table = pq.read_table(file)
+        for kind, name in zip(table.column("type").to_pylist(), table.column("name").to_pylist()):
+            of_type = cells.setdefault(kind, {})
+            of_type[name] = len(of_type) + 1
+    return cells
+
+
+def _cell(text: str) -> str:
+    """Strings without their quotes, null as nothing, all else as JSON."""
+    return "" if text == "null" else json.loads(text) if text[0] == '"' else text
+
+
+def wide_lines(items: DataFrame, id_col: str, id_name: str, names_path: str, type_col: str | None = None) -> DataFrame:
+    """``type, place, value``: lines of dense CSV, each task's lines of a type behind a header.
+
+    The header is read where the lines are made, from the table of names at ``names_path``.
+    """
+    ship_package(items.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        catalogue, begun, place = None, set(), 0
+        for batch in batches:
+            catalogue = _catalogue(names_path) if catalogue is None else catalogue
+            lines, kinds = _Lines(), []
+            writer = csv.writer(lines, lineterminator="")
+            for kind, item, props in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                cells = catalogue.get(kind, {})
+                if kind not in begun:
+                    begun.add(kind)
+                    writer.writerow([id_name, *cells])
+                    kinds.append(kind)
+                row = [""] * (len(cells) + 1)
+                row[0] = item or ""
+                for name, text in props or ():
+                    if text is not None:
+                        row[cells[name]] = _cell(text)
+                writer.writerow(row)
+                kinds.append(kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds, pa.string()), pa.array(range(place, place + len(lines)), pa.int64()), pa.array(lines, pa.string())],
+                ["type", "place", "value"],
+            )
+            place += len(lines)
+
+    kind = F.col(type_col).cast("string") if type_col else F.lit(None).cast("string")
+    rows = items.select(kind.alias("type"), F.col(id_col).cast("string").alias("id"), "properties")
+    return rows.mapInArrow(task, "type string, place bigint, value string")
+
+
+def write_wide_csv(
+    items: DataFrame,
+    path: str,
+    id_col: str,
+    id_name: str | None = None,
+    type_col: str | None = None,
+    append: bool = False,
+    compress: bool = False,
+) -> None:
+    """Sparse property maps as dense CSV of any width; with ``type_col`` a folder and a header per type.
+
+    The header is the id and the sorted names of all properties there are. Names are
+    found and sorted by Spark and written as a table, which tasks read; none comes to the
+    driver, and no plan has a column per name. All types are written by one job. Each file has its header,
+    so files that are appended may have other names: :func:`..sources.csv_files.read_profiles`
+    takes each by its own.
+    """
+    spark = items.sparkSession
+    names_path = scratch_path(spark, "names")
+    kind = (F.col(type_col) if type_col else F.lit(None)).cast("string").alias("type")
+    found = P.explode_props(items, kind).select("type", "name").distinct()
+    # One file, since a header is one line.
+    found.repartition(1).sortWithinPartitions("type", "name").write.parquet(names_path)
+    try:
+        lines = wide_lines(items, id_col, id_name or id_col, names_path, type_col)
+        # Headers stay ahead: lines are in the order the write asks for.
+        ordered = lines.sortWithinPartitions("type", "place").select("type", "value") if type_col else lines.select("value")
+        writer = ordered.withColumnRenamed("type", type_col).write.partitionBy(type_col) if type_col else ordered.write
+        writer.mode("append" if append else "errorifexists").option("compression", "gzip" if compress else "none").text(path)
+    finally:
+        delete_path(spark, names_path)
+
+
 def export_events(
     events: DataFrame, path: str, format: str = "json", append: bool = False, compress: bool = False
 ) -> None:
@@ -87,7 +186,7 @@ def export_events(
     if format == "json":
         write_json(event_json(events), path, append, compress)
     elif format == "csv":
-        write_csv(flatten(raw_events(events), "event"), path, append, compress)
+        write_wide_csv(raw_events(events), path, "event", append=append, compress=compress)
     else:
         raise ValueError(f"format must be json or csv: {format}")
 
@@ -104,11 +203,16 @@ def export_profiles(
     if format == "json":
         write_json(profile_json(profiles, id_col), path, append, compress)
     elif format == "csv":
-        write_csv(flatten(profiles, id_col, id_name="$distinct_id"), path, append, compress)
+        write_wide_csv(profiles, path, id_col, "$distinct_id", append=append, compress=compress)
     else:
         raise ValueError(f"format must be json or csv: {format}")
 
 
+def export_groups(groups: DataFrame, path: str, append: bool = False, compress: bool = False) -> None:
+    """Group profiles of all types as CSV, a folder ``group_type=...`` and a header per type, in one job."""
+    write_wide_csv(groups, path, "group_id", "$distinct_id", "group_type", append, compress)
+
+
 def export_events_per_day(
     events: DataFrame, path: str, append: bool = False, compress: bool = False
 ) -> None:

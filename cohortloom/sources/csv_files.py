@@ -136,3 +136,15 @@ def read_profiles(spark: SparkSession, paths, multi_line: bool = True) -> DataFr
     return _rows_with(spark, paths, fixed).select(
         F.try_element_at("cells", F.lit("$distinct_id")).alias("distinct_id"), _props_of_rows(fixed).alias("properties")
     )
+
+
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """Groups from a folder of CSV files with a folder ``group_type=...`` per type."""
+    fixed = ("$distinct_id",)
+    rows = _rows_with(spark, path, fixed)
+    kind = F.url_decode(F.replace(F.regexp_extract("path", "/group_type=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    return rows.select(
+        kind.alias("group_type"),
+        F.try_element_at("cells", F.lit("$distinct_id")).alias("group_id"),
+        _props_of_rows(fixed).alias("properties"),
+    )

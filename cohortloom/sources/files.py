@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -32,7 +31,7 @@ def list_folder(path: str) -> list[str]:
 
 def _locate(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith(("file:", "/")):
-        return fs.LocalFileSystem(), "/" + unquote(path.removeprefix("file:")).lstrip("/")
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(path)
 
 

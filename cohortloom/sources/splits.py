@@ -369,9 +369,12 @@ def csv_rows(spark: SparkSession, paths, block_bytes: int = BLOCK_BYTES) -> Data
     return _dealt(spark, ready).mapInArrow(_csv_records, "path string, cells map<string,string>")
 
 
+_HEADERS = pa.schema([("path", pa.string()), ("header", pa.list_(pa.string()))])
+
+
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in _each(batches):
-        yield pa.RecordBatch.from_pylist([{"path": row["path"], "header": _header(row["path"])}])
+        yield pa.RecordBatch.from_pylist([{"path": row["path"], "header": _header(row["path"])}], _HEADERS)
 
 
 def csv_headers(spark: SparkSession, paths) -> DataFrame:

@@ -166,3 +166,43 @@ def test_zip_members(spark, tmp_path):
 def test_groups_of_every_type_come_back_from_csv(spark):
     rows = entry.queries()["csv_groups_all"](spark, "/root/testdata/sf0.001").collect()
     assert {r["group_type"] for r in rows} == {"nations", "suppliers"}
+
+
+def test_csv_appended_with_other_names(spark, profiles_of, as_dict, tmp_path):
+    first = {"a": {"x": 1, "y": "two\nlines"}, "b": {}}
+    later = {"c": {"a0": True, "y": 'q"'}, "d": {"z": [1, {"k": None}], "x": None}}
+    X.export_profiles(profiles_of(first), str(tmp_path / "out"), "csv")
+    X.export_profiles(profiles_of(later), str(tmp_path / "out"), "csv", append=True, compress=True)
+    assert as_dict(csv_files.read_profiles(spark, str(tmp_path / "out"))) == {**first, "c": later["c"], "d": {"z": [1, {"k": None}]}}
+
+
+def test_csv_of_very_many_names(spark, tmp_path):
+    n = 20_000
+    rows = spark.range(n).select(
+        F.col("id").cast("string").alias("distinct_id"),
+        F.create_map(F.concat(F.lit("p"), F.lpad(F.col("id").cast("string"), 6, "0")), F.lit("1")).alias("properties"),
+    ).where("id % 400 = 7")
+    wide = rows.unionByName(
+        spark.range(1).select(
+            F.lit("all").alias("distinct_id"),
+            F.map_from_entries(
+                F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(F.concat(F.lit("p"), F.lpad(i.cast("string"), 6, "0")), i.cast("string")))
+            ).alias("properties"),
+        )
+    )
+    X.export_profiles(wide, str(tmp_path / "out"), "csv")
+    back = {r["distinct_id"]: r["properties"] for r in csv_files.read_profiles(spark, str(tmp_path / "out")).collect()}
+    assert back["407"] == {"p000407": "1"} and len(back) == 51
+    assert back["all"] == {f"p{i:06d}": str(i) for i in range(n)}
+
+
+def test_groups_of_many_types_in_one_job(spark, tmp_path):
+    names = [f"t{i}" for i in range(60)] + ["a/b c%20+d", "é=x"]
+    rows = [(t, f"g{i}", {f"k{k % 3}": str(i), "n": '"v"'}) for k, t in enumerate(names) for i in range(3)]
+    groups = spark.createDataFrame(rows, "group_type string, group_id string, properties map<string,string>").repartition(3)
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    X.export_groups(groups, str(tmp_path / "out"))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 12
+    back = [(r["group_type"], r["group_id"], r["properties"]) for r in csv_files.read_groups(spark, str(tmp_path / "out")).collect()]
+    key = lambda r: r[:2]
+    assert sorted(back, key=key) == sorted(rows, key=key)
