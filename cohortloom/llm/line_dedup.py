@@ -112,9 +112,13 @@ def _near_lines(
     shared = keyed.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     likely = work.cut(keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct())
     h1, h2 = _two_hashes(F.col("line"))
-    own = firsts.join(likely, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
+    own = work.cut(firsts.join(likely, ["h1", "h2"], "left_semi").select("h1", "h2", "first"))
+    work.forget(likely)
+    # Only documents in which such a line comes first are split again.
+    wanted = work.cut(_with_parts(own).select(F.col("doc_id").alias("wanted_id")).distinct())
+    likely_docs = docs.join(wanted, F.col(id_col).cast("long") == F.col("wanted_id"), "left_semi")
     lines = work.cut(
-        split_lines(docs, id_col, text_col)
+        split_lines(likely_docs, id_col, text_col)
         .filter(_word_count(F.col("line")) >= min_words)
         .select("line", h1.alias("h1"), h2.alias("h2"), "doc_id", "line_no", "text_hash")
         .join(own, ["h1", "h2"])
