@@ -7,7 +7,6 @@ import gzip
 import json
 import zipfile
 from collections.abc import Mapping
-from functools import reduce
 from typing import Any
 
 import pandas as pd
@@ -23,6 +22,7 @@ from ..operators import updates as U
 from ..session import cut_lineage, scratch_path, ship_package
 from ..sinks import exports as X
 from ..sinks import imports as I
+from ..sinks.delivery import Delivery
 from ..sources import archive, csv_files, detect, json_files, load, paged
 from ..sources.files import create_file, list_folder, open_file
 from . import tables as D
@@ -389,6 +389,24 @@ def delivery_results(spark, sf_dir):
     return results.select("batch_no", "n_items", "ok", "error")
 
 
+@plan(
+    f"""
+WITH r AS (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS row_no FROM {GAPS} WHERE NOT (no_time OR no_user)),
+b AS (SELECT row_no // 500 AS batch_no, count(*) AS n_items, arg_min(event, row_no) AS head FROM r GROUP BY 1)
+SELECT batch_no, n_items, head <> 'error' AS in_first_run, TRUE AS ok FROM b
+"""
+)
+def delivery_resumed(spark, sf_dir):
+    """Batches that a receiver turned down, and no others, are sent again by the next run."""
+    delivery = Delivery(spark, scratch_path(spark, "delivery"))
+    ready = E.prepare_events(D.raw_with_gaps(spark, sf_dir), "T1", 5.5)
+    delivery.prepare(X.event_json(ready, "event_id"), "value", ["event_id"], 500, encode=False)
+    first = cut_lineage(delivery.run(_refuse_errors).select("batch_no", F.col("ok").alias("in_first_run")))
+    delivery.prepare(X.event_json(ready, "event_id"), "value", ["event_id"], 500, encode=False)
+    results = delivery.run(json.loads)
+    return results.join(first, "batch_no").select("batch_no", "n_items", "in_first_run", "ok")
+
+
 def _accept(payload: str) -> None:
     """A receiver that reads the batch and keeps nothing."""
     json.loads(base64.b64decode(payload))

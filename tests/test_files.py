@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 import zipfile
 
 import pytest
@@ -206,3 +207,49 @@ def test_groups_of_many_types_in_one_job(spark, tmp_path):
     back = [(r["group_type"], r["group_id"], r["properties"]) for r in csv_files.read_groups(spark, str(tmp_path / "out")).collect()]
     key = lambda r: r[:2]
     assert sorted(back, key=key) == sorted(rows, key=key)
+
+
+def test_a_delivery_that_was_killed_goes_on_where_it_was(spark, tmp_path):
+    rows = spark.range(400).select("id", F.col("id").cast("string").alias("item"))
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+
+    def arrive(payload):
+        first = json.loads(payload)[0]
+        (inbox / f"{first}-{os.urandom(4).hex()}").touch()
+
+    def die_after_some(payload):
+        if len(list(inbox.iterdir())) >= 12:
+            raise SystemExit("killed")
+        if json.loads(payload)[0] == 20:
+            raise TimeoutError("slow")
+        arrive(payload)
+
+    made = delivery.Delivery(spark, str(tmp_path / "d"))
+    made.prepare(rows, "item", ["id"], 10, encode=False)
+    with pytest.raises(Exception):
+        made.run(die_after_some)
+    arrived = {int(p.name.split("-")[0]) // 10 for p in inbox.iterdir()}
+    receipts = {r["batch_no"] for r in made.receipts().collect()}
+    assert 12 <= len(arrived) < 40 and receipts == arrived
+    again = delivery.Delivery(spark, str(tmp_path / "d"))
+    again.prepare(rows.where("id < 0"), "item", ["id"], 10, encode=False)
+    assert {r["batch_no"] for r in again.pending().collect()} == set(range(40)) - arrived
+    results = again.run(arrive).collect()
+    assert sorted((r["batch_no"], r["n_items"], r["ok"]) for r in results) == [(n, 10, True) for n in range(40)]
+    assert sorted(int(p.name.split("-")[0]) for p in inbox.iterdir()) == [n * 10 for n in range(40)]
+    assert again.run(arrive).count() == 40 and len(list(inbox.iterdir())) == 40
+
+
+def test_batches_that_fail_stay_for_the_next_run(spark, tmp_path):
+    rows = spark.range(10).select("id", F.col("id").cast("string").alias("item"))
+
+    def refuse(payload):
+        if "5" in payload:
+            raise TimeoutError("slow")
+
+    made = delivery.Delivery(spark, str(tmp_path / "d"))
+    made.prepare(rows, "item", ["id"], 4, encode=False)
+    got = {r["batch_no"]: (r["ok"], r["error"], r["payload"]) for r in made.run(refuse).collect()}
+    assert got == {0: (True, None, None), 1: (False, "TimeoutError: slow", "[4,5,6,7]"), 2: (True, None, None)}
+    assert [r["ok"] for r in made.run(json.loads).collect()] == [True] * 3
