@@ -364,7 +364,7 @@ def keep_one_per_group(
     an id that stands on texts of different groups is judged in each. Texts without
     words are in no group: of those equal in id and text one stays. Rows with a null id stay.
     """
-    judged = work.cut(_judged(work, docs, percent, id_col, text_col).filter("doc_id IS NOT NULL AND kept"))
+    judged = work.result(_judged(work, docs, percent, id_col, text_col).filter("doc_id IS NOT NULL AND kept"))
     group = F.when(F.col("n_shingles") == 0, F.col("text_hash")).otherwise(F.col("root"))
     chosen = judged.groupBy("doc_id", F.col("n_shingles") == 0, group).agg(F.min("text_hash").alias("text_hash"))
     named = docs.filter(F.col(id_col).isNotNull())
