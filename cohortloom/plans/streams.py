@@ -91,19 +91,21 @@ WHERE user_id IS NOT NULL
 """
 )
 def stream_merges_all(spark, sf_dir):
-    """Identity pairs of every user of a feed, each once within the watermark."""
-    return _merges(_feed(spark, sf_dir, "events").where(F.col("user_id").isNotNull()))
-
-
-def _merges(feed: DataFrame) -> DataFrame:
+    """Identity pairs of every user of a feed of two files, each once whenever it comes."""
+    path = scratch_path(spark, "merges")
+    events = D.table(spark, sf_dir, "events").where("user_id IS NOT NULL").select("user_id", "ts")
+    # The same users in two files, one after the other, so that pairs come again in a later batch.
+    for half in (F.col("ts"), F.col("ts") + F.expr("INTERVAL 1 YEAR")):
+        events.withColumn("ts", half).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     user = F.col("user_id")
     pairs = feed.select(
         F.concat(F.lit("u"), user.cast("string")).alias("id_a"),
         (user + 1000).cast("string").alias("id_b"),
         F.col("ts").cast("timestamp").alias("event_time"),
-    )
-    distinct = S.distinct_merges(pairs.withWatermark("event_time", "60 days"))
-    return _drain(distinct, scratch_path(feed.sparkSession, "merges")).select("id_a", "id_b")
+    ).withWatermark("event_time", "60 days")
+    S.first_merges(pairs, f"{path}/index", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{path}/index").select("id_a", "id_b")
 
 
 @plan(

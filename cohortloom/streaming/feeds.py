@@ -12,6 +12,7 @@ from ..functions import predicates as Q
 from ..functions import properties as P
 from ..operators import events as E
 from ..operators.behaviors import window_seconds
+from ..session import child_names, cut_lineage, owned_cuts
 from ..sinks.exports import event_json
 from ..sources.json_files import EVENT_JSON
 from .profile_store import ProfileStore
@@ -79,6 +80,36 @@ def distinct_merges(pairs: DataFrame) -> DataFrame:
     return pairs.dropDuplicatesWithinWatermark(["id_a", "id_b"])
 
 
+def first_merges(
+    pairs: DataFrame, index_path: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Write each ``id_a, id_b`` pair of a feed once, however long after the first it comes again.
+
+    Watermarked state drops what repeats within the watermark. What is left is
+    held against an index of all pairs written before, which is the table under ``index_path``
+    itself, a folder per batch. Of the index only the pairs that the batch has are
+    sought, so it is scanned but, for a batch Spark can broadcast, not shuffled. A batch that runs
+    again sees the folders before its own and replaces its own.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, keys = batch.sparkSession, ["id_a", "id_b"]
+        named = [n for n in child_names(spark, index_path) if n.startswith("batch=")]
+        before = [f"{index_path}/{n}" for n in named if int(n.split("=")[1]) < batch_id]
+        fresh = batch.select(*keys).distinct()
+        if before:
+            fresh = cut_lineage(fresh, "pairs")
+            seen = spark.read.schema(fresh.schema).parquet(*before).join(fresh, keys, "left_semi")
+            fresh = fresh.join(seen, keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{index_path}/batch={batch_id}")
+
+    def owned(batch: DataFrame, batch_id: int) -> None:
+        with owned_cuts(batch.sparkSession):
+            write(batch, batch_id)
+
+    return _start(distinct_merges(pairs), owned, checkpoint, once)
+
+
 def daily_behavior_counts(
     events: DataFrame, behaviors: list[Mapping[str, Any]]
 ) -> DataFrame:

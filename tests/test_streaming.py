@@ -126,6 +126,33 @@ def test_late_pairs_are_dropped_once(spark, tmp_path):
     assert spark.table("pairs").count() == 2
 
 
+def test_a_pair_that_comes_again_after_a_year_is_written_once(spark, tmp_path):
+    schema, year = "id_a string, id_b string, t bigint", 366 * 86_400
+    index, feed = str(tmp_path / "index"), str(tmp_path / "in")
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+
+    def run(checkpoint="cp"):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        timed = stream.withColumn("event_time", F.timestamp_seconds("t")).withWatermark("event_time", "1 hour")
+        S.first_merges(timed, index, str(tmp_path / checkpoint), once=True).awaitTermination()
+
+    arrive([("a", "1", 0), ("a", "1", 5), ("b", "2", 6)])
+    run()
+    arrive([("c", "3", year)])
+    arrive([("a", "1", year + 7200), ("d", "4", year + 7200)])
+    run()
+    arrive([("d", "4", 3 * year), ("b", "2", 3 * year), ("e", "5", 3 * year)])
+    run()
+    run()
+    got = sorted(tuple(r) for r in spark.read.parquet(index).select("id_a", "id_b").collect())
+    assert got == [("a", "1"), ("b", "2"), ("c", "3"), ("d", "4"), ("e", "5")]
+    run("lost checkpoint")
+    again = sorted(tuple(r) for r in spark.read.parquet(index).select("id_a", "id_b").collect())
+    assert again == got
+
+
 def test_merges_of_every_user_of_a_feed(spark):
     sf = "/root/testdata/sf0.001"
     users = {r[0] for r in spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct().collect()} - {None}
