@@ -41,7 +41,7 @@ _END = 256
 _SLICE = 1 << 20
 #: Words of more bytes are merged one by one.
 _LONG_WORD = 200
-_CACHE_BYTES = 48_000_000
+_CACHE_BYTES = 24_000_000
 _BORDER = regex.compile(r"\S(?= )")
 
 
@@ -409,7 +409,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         codec = _codec(path)
         for batch in batches:
             coded = as_bytes(batch.column(1).fill_null(""))
-            for part in _runs([len(c) for c in coded], 8 * _SLICE):
+            for part in _runs([len(c) for c in coded], 2 * _SLICE):
                 ids, n = codec.encode([c.decode("utf-8", "replace") for c in coded[part]])
                 ends = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
                 lists = pa.ListArray.from_arrays(ends, pa.array(ids, pa.int32()))
