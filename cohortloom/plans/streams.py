@@ -129,6 +129,28 @@ def stream_behaviors(spark, sf_dir):
     return S.behaviors_from_days(daily, wanted, "2024-01-25")
 
 
+@plan(
+    f"""
+WITH e AS (SELECT {D.UID} AS distinct_id, event_type, {D.EPOCH_S} AS time FROM events)
+SELECT distinct_id,
+  CAST(count(*) FILTER (WHERE event_type = 'purchase' AND time > 1706187600 - 7 * 86400) AS BIGINT) AS bought,
+  CAST(count(*) FILTER (WHERE time > 1706187600 - 20 * 86400) AS BIGINT) AS seen,
+  CAST(count(*) FILTER (WHERE time > 1706187600 - 5 * 3600) AS BIGINT) AS lately
+FROM e WHERE time > 1706187600 - 20 * 86400 AND time <= 1706187600 GROUP BY 1
+"""
+)
+def behaviors_from_buckets(spark, sf_dir):
+    """Trailing windows that end at 13:00, from daily counts of a feed and the rows of the days at their edges."""
+    wanted = [
+        {"window": "7d", "name": "bought", "event_selectors": ["purchase"]},
+        {"window": "20d", "name": "seen"},
+        {"window": "5h", "name": "lately"},
+    ]
+    feed = S.with_event_time(D.shaped(_feed(spark, sf_dir, "events")))
+    daily = _drain(S.daily_behavior_counts(feed, wanted), scratch_path(spark, "days"), "complete")
+    return S.behaviors_at(daily, D.events(spark, sf_dir), wanted, 1706187600)
+
+
 @plan(
     f"""
 WITH c AS (SELECT {D.UID} AS distinct_id, CAST(count(*) AS VARCHAR) AS n, arg_max(event_type, event_id) AS last FROM events GROUP BY 1)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import predicates as Q
@@ -147,6 +149,38 @@ def behaviors_from_days(
     return daily.where(F.col("day") <= end).groupBy("distinct_id").agg(*sums)
 
 
+def behaviors_at(
+    daily: DataFrame, events: DataFrame, behaviors: list[Mapping[str, Any]], as_of: int, offset_hours: float = 0
+) -> DataFrame:
+    """What :func:`..operators.behaviors.behavior_counts` gives, to the second, from daily sums.
+
+    Whole days inside a window come from ``daily``; of ``events`` only the rows of
+    the days are read in which a window begins or ends: the last, and one per length of window.
+    """
+    end, day = int(as_of + offset_hours * 3600), 86_400
+    starts = {b["name"]: end - window_seconds(b["window"]) for b in behaviors}
+    time, number = F.col("time"), F.datediff("day", F.lit("1970-01-01").cast("date"))
+
+    def at_edge(start: int) -> Column:
+        first_whole, last_whole = (start // day + 1) * day, end // day * day
+        if first_whole > last_whole:
+            return (time > start) & (time <= end)
+        return ((time > start) & (time < first_whole)) | ((time >= last_whole) & (time <= end))
+
+    def inside(start: int) -> Column:
+        return (number > start // day) & (number < end // day)
+
+    some = lambda of: reduce(or_, [of(start) for start in set(starts.values())])
+    edge_counts = [
+        F.count(F.when(at_edge(starts[b["name"]]) & Q.event_is(b.get("event_selectors")), F.lit(1))).alias(b["name"])
+        for b in behaviors
+    ]
+    edges = events.where(some(at_edge)).groupBy("distinct_id").agg(*edge_counts)
+    day_sums = [F.coalesce(F.sum(F.when(inside(start), F.col(n))), F.lit(0)).alias(n) for n, start in starts.items()]
+    days = daily.where(some(inside)).groupBy("distinct_id").agg(*day_sums)
+    return edges.unionByName(days).groupBy("distinct_id").agg(*[F.sum(n).alias(n) for n in starts])
+
+
 def update_profiles(
     updates: DataFrame,
     store: ProfileStore,

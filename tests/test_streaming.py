@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from cohortloom.operators import folding
+from cohortloom.operators.behaviors import behavior_counts
 from cohortloom.session import cut_lineage, shared_dir
 from cohortloom.streaming import feeds as S
 from cohortloom.streaming.profile_store import ProfileStore
@@ -167,3 +168,18 @@ def test_user_windows(spark, tmp_path):
     counted = S.windowed_counts(S.with_event_time(events), by_user=True)
     got = {(r["distinct_id"], r["n"]) for r in counted.collect()}
     assert got == {("a", 2), ("b", 1)}
+
+
+@pytest.mark.parametrize("as_of,offset", [(10 * 86_400 + 46_800, 0), (10 * 86_400, 0), (10 * 86_400 - 1, 0), (10 * 86_400 + 100, 5.5)])
+def test_windows_from_days_and_edges_are_exact(spark, as_of, offset):
+    rng = np.random.default_rng(1)
+    edges = [d * 86_400 + s for d in range(12) for s in (-1, 0, 1)] + [as_of + int(offset * 3600) - w + s for w in (3600, 86_400, 3 * 86_400, 100_000) for s in (-1, 0, 1)]
+    times = [*rng.integers(0, 12 * 86_400, 400).tolist(), *edges]
+    rows = [(str(rng.choice(["e", "f"])), str(rng.choice(["a", "b", "c"])), int(t)) for t in times] + [("e", "old", 5)]
+    events = spark.createDataFrame(rows, "event string, distinct_id string, time bigint")
+    wanted = [{"window": "1h", "name": "n_hour"}, {"window": "1d", "name": "n_day", "event_selectors": ["e"]},
+              {"window": "3d", "name": "n_days"}, {"window": "100000s", "name": "odd"}]
+    daily = S.daily_behavior_counts(S.with_event_time(events), wanted)
+    order = ["distinct_id", *(b["name"] for b in wanted)]
+    got = sorted(tuple(r) for r in S.behaviors_at(daily, events, wanted, as_of, offset).select(*order).collect())
+    assert got == sorted(tuple(r) for r in behavior_counts(events, wanted, as_of, offset).select(*order).collect())
