@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import properties as P
 from ..functions import times
 from ..operators.events import raw_events
-from ..session import delete_path, scratch_path, ship_package
+from ..session import cut_lineage, delete_path, owned_cuts, scratch_path, ship_package
 from ..sources.files import list_folder, open_file
 
 
@@ -246,11 +246,11 @@ def backup(targets: DataFrame, path: str) -> DataFrame:
 
 
 def write_split(tagged: DataFrame, valid_path: str, invalid_path: str) -> None:
-    """Write valid rows as a table and invalid raw events as JSON lines."""
-    good = tagged.where(F.col("valid")).drop("valid")
-    good.write.mode("append").parquet(valid_path)
-    bad = tagged.where(~F.col("valid")).drop("valid")
-    write_json(event_json(bad), invalid_path, append=True)
+    """Write valid rows as a table and invalid raw events as JSON lines; the input is computed once."""
+    with owned_cuts(tagged.sparkSession):
+        rows = cut_lineage(tagged, "split")
+        rows.where(F.col("valid")).drop("valid").write.mode("append").parquet(valid_path)
+        write_json(event_json(rows.where(~F.col("valid")).drop("valid")), invalid_path, append=True)
 
 
 def long_form(items: DataFrame, *ids: str) -> DataFrame:

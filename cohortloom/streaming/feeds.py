@@ -47,14 +47,16 @@ def ingest(
     """Write valid events (UTC) to one table and invalid ones to another.
 
     Each batch has its own folder, overwritten if the batch runs again, so a
-    restart leaves no row twice.
+    restart leaves no row twice. A batch is parsed once, into a cut that both writes read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = E.shape_events(E.prepare_events(batch, token, offset_hours))
-        good.write.mode("overwrite").parquet(f"{events_path}/batch={batch_id}")
-        bad = event_json(E.invalid_events(batch))
-        bad.write.mode("overwrite").text(f"{invalid_path}/batch={batch_id}")
+        with owned_cuts(batch.sparkSession):
+            rows = cut_lineage(batch, "ingest")
+            good = E.shape_events(E.prepare_events(rows, token, offset_hours))
+            good.write.mode("overwrite").parquet(f"{events_path}/batch={batch_id}")
+            bad = event_json(E.invalid_events(rows))
+            bad.write.mode("overwrite").text(f"{invalid_path}/batch={batch_id}")
 
     return _start(raw, write, checkpoint, once)
 
