@@ -32,6 +32,7 @@ def _two_hashes(*parts: Column) -> tuple[Column, Column]:
 
 #: A place as one number: the id, 31 bits of the line's number, 31 of the hash of the text.
 _LINE, _TEXT = 1 << 31, (1 << 31) - 1
+#: Keys of a line by its first and its last words, and those of a length below it.
 _HALVES = [f"half_{i}" for i in range(4)]
 
 
@@ -40,10 +41,15 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(_TEXT))
 
 
+def _text_place(id_col: str, text: Column) -> Column:
+    """Id and text as one decimal, with room for the line's number."""
+    whole = F.col(id_col).cast("long").cast("decimal(20,0)") * F.lit(_LINE * _LINE).cast("decimal(19,0)")
+    return (whole + _text_hash(text)).cast("decimal(38,0)")
+
+
 def _place() -> Column:
     """Id, line and text as one decimal of the same order, which hash aggregates keep in place."""
-    whole = F.col("doc_id").cast("decimal(20,0)") * F.lit(_LINE * _LINE).cast("decimal(19,0)")
-    return (whole + (F.col("line_no").cast("bigint") * _LINE + F.col("text_hash"))).cast("decimal(38,0)")
+    return (F.col("text_place") + F.col("line_no").cast("bigint") * _LINE).cast("decimal(38,0)")
 
 
 def _with_parts(placed: DataFrame) -> DataFrame:
@@ -58,12 +64,13 @@ def _with_parts(placed: DataFrame) -> DataFrame:
 
 
 def _is_full(line: Column) -> Column:
-    return F.length(F.trim(line, F.lit(_SPACES))) > 0
+    """Trimmed on the left only, which reads no further than the first word."""
+    return F.octet_length(F.ltrim(line, F.lit(_SPACES))) > 0
 
 
 def _spaced(line: Column) -> Column:
     """The words of a line with one space between; most lines are that already."""
-    plain = ~reduce(or_, [F.contains(line, F.lit(c)) for c in ("  ", *_SPACES[1:])])
+    plain = ~reduce(or_, [F.contains(line, F.lit(c)) for c in ("  ", *_SPACES[1:-1])])
     plain &= ~F.startswith(line, F.lit(" ")) & ~F.endswith(line, F.lit(" "))
     return F.when(plain, line).otherwise(F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")))
 
@@ -74,29 +81,68 @@ def _word_count(line: Column) -> Column:
 
 
 def split_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, text_hash, line_no, line`` of the lines that are not blank; a null text has none."""
+    """``text_place, line_no, line`` of the lines that are not blank; a null text has none.
+
+    What holds of the text is computed before its lines are dealt out, once per text.
+    """
     text = F.col(text_col)
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        _text_hash(text).alias("text_hash"),
-        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
-    ).filter(_is_full(F.col("line"))).withColumn("line", _spaced(F.col("line")))
+    return (
+        docs.select(_text_place(id_col, text).alias("text_place"), text.alias("text"))
+        .select("text_place", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        .filter(_is_full(F.col("line")))
+        .withColumn("line", _spaced(F.col("line")))
+    )
+
+
+def _length_class(n: Column) -> Column:
+    """The least of the lengths taken together with ``n``, less than a quarter below it."""
+    bits = F.greatest(F.lit(0), F.floor(F.log2(n)).cast("int") - 2)
+    return n - n % F.call_function("shiftleft", F.lit(1), bits)
+
+
+def _length_classes(n: Column) -> dict[str, Column]:
+    """``size`` of a line of ``n`` words, and ``below``, of one with a word less."""
+    return {"size": _length_class(n), "below": _length_class(n - 1)}
+
 
+def _half(size: Column) -> Column:
+    return F.call_function("shiftright", size, F.lit(1))
 
-def _half_keys(line: Column, n: Column) -> list[Column]:
-    """Keys of which two lines one word apart share one.
 
-    The word in which they differ lies in the first or in the second half, so
-    the other half is equal. A line takes its halves as they are, and as they
-    would be with a word less.
+def with_half_keys(lines: DataFrame, min_words: int) -> DataFrame:
+    """``lines`` with the number ``n`` of words and keys of which two lines one word apart share one.
+
+    Both have at least ``size`` words, the length class of the shorter. If they
+    differ after the first half of ``size``, so many first words are equal, else
+    so many last words are. The longer one may be the first of the next class,
+    so those also take the keys of the class below.
     """
+    # Columns of their own: within a condition Spark would compute them once per key.
+    n = F.col("n")
+    sized = lines.withColumn("n", _word_count(F.col("line"))).withColumns(_length_classes(n))
     keys = []
-    for less in (0, 1):
-        size = n - less
-        low = F.floor(size / 2).cast("int")
-        keys.append(F.xxhash64(F.lit(0), size, _ends(line, low)))
-        keys.append(F.xxhash64(F.lit(1), size, _ends(line, -(size - low))))
-    return keys
+    for size, holds in (("size", n >= min_words), ("below", (n > min_words) & (F.col("below") != F.col("size")))):
+        half = _half(F.col(size))
+        keys.append(F.when(holds, F.xxhash64(F.lit(0), size, _ends(F.col("line"), half))))
+        keys.append(F.when(holds, F.xxhash64(F.lit(1), size, _ends(F.col("line"), -half))))
+    return sized.withColumns(dict(zip(_HALVES, keys)))
+
+
+def _words_to_leave_out() -> Column:
+    """0 and the numbers of the words in which a line can differ from those it shares a half with.
+
+    Who shares the first half of a size differs after it, who shares the last one before.
+    """
+    shares = lambda i: F.col("shares").bitwiseAND(F.lit(1 << i)) != 0
+    size, below = _half(F.col("size")), _half(F.col("below"))
+    return F.filter(
+        F.sequence(F.lit(0), "n"),
+        lambda word: (word == 0)
+        | (shares(0) & (word > size))
+        | (shares(1) & (word <= size))
+        | (shares(2) & (word > below))
+        | (shares(3) & (word <= below)),
+    )
 
 
 def _ends(line: Column, words: Column) -> Column:
@@ -108,11 +154,16 @@ def _near_lines(
     work: Workspace, docs: DataFrame, firsts: DataFrame, id_col: str, text_col: str, min_words: int
 ) -> DataFrame:
     """``h1, h2`` of the distinct lines that have an earlier line one word apart."""
-    keyed = firsts.filter("half_0 IS NOT NULL").select("h1", "h2", F.explode(F.array(*_HALVES)).alias("half"))
+    keyed = (
+        firsts.filter("half_0 IS NOT NULL")
+        .select("h1", "h2", F.posexplode(F.array(*_HALVES)).alias("at", "half"))
+        .filter("half IS NOT NULL")
+    )
     shared = keyed.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    likely = work.cut(keyed.join(shared, "half", "left_semi").select("h1", "h2").distinct())
+    shares = F.bit_or(F.expr("shiftleft(1, at)")).alias("shares")
+    likely = work.cut(keyed.join(shared, "half", "left_semi").groupBy("h1", "h2").agg(shares))
     h1, h2 = _two_hashes(F.col("line"))
-    own = work.cut(firsts.join(likely, ["h1", "h2"], "left_semi").select("h1", "h2", "first"))
+    own = work.cut(firsts.join(likely, ["h1", "h2"]).select("h1", "h2", "first", "shares"))
     work.forget(likely)
     # Only documents in which such a line comes first are split again.
     wanted = work.cut(_with_parts(own).select(F.col("doc_id").alias("wanted_id")).distinct())
@@ -120,17 +171,17 @@ def _near_lines(
     lines = work.cut(
         split_lines(likely_docs, id_col, text_col)
         .filter(_word_count(F.col("line")) >= min_words)
-        .select("line", h1.alias("h1"), h2.alias("h2"), "doc_id", "line_no", "text_hash")
+        .select("line", h1.alias("h1"), h2.alias("h2"), _place().alias("place"))
         .join(own, ["h1", "h2"])
-        .filter(_place() == F.col("first"))
+        .filter("place = first")
         .dropDuplicates(["h1", "h2"])
-        .select("h1", "h2", "first", "line", _word_count(F.col("line")).alias("n"))
+        .select("h1", "h2", "first", "line", "shares", _word_count(F.col("line")).alias("n"))
     )
     v1, v2 = _two_hashes(_without(F.col("line"), F.col("n"), F.col("left_out")))
     variants = work.cut(
-        lines.select("*", F.explode(F.sequence(F.lit(0), "n")).alias("left_out")).select(
-            "h1", "h2", "first", "left_out", v1.alias("v1"), v2.alias("v2")
-        )
+        lines.withColumns(_length_classes(F.col("n")))
+        .select("*", F.explode(_words_to_leave_out()).alias("left_out"))
+        .select("h1", "h2", "first", "left_out", v1.alias("v1"), v2.alias("v2"))
     )
     met = variants.groupBy("v1", "v2").agg(F.count("*").alias("n")).filter("n > 1").select("v1", "v2")
     neighbours = work.cut(variants.join(met, ["v1", "v2"], "left_semi"))
@@ -208,15 +259,9 @@ def dedup_lines(
     """
     named = docs.filter(F.col(id_col).isNotNull())
     h1, h2 = _two_hashes(F.col("line"))
-    n = _word_count(F.col("line"))
     firsts = work.cut(
-        split_lines(named, id_col, text_col)
-        .select(
-            h1.alias("h1"),
-            h2.alias("h2"),
-            _place().alias("place"),
-            *[F.when(n >= min_words, half).alias(name) for half, name in zip(_half_keys(F.col("line"), n), _HALVES)],
-        )
+        with_half_keys(split_lines(named, id_col, text_col), min_words)
+        .select(h1.alias("h1"), h2.alias("h2"), _place().alias("place"), *_HALVES)
         .groupBy("h1", "h2")
         # Equal lines have equal halves.
         .agg(F.min("place").alias("first"), *[F.max(name).alias(name) for name in _HALVES])

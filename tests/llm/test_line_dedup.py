@@ -69,3 +69,37 @@ def test_the_least_length_is_the_callers(work, docs_of):
 
 def test_no_rows(work, docs_of):
     assert dedup_lines(work, docs_of([])).count() == 0
+
+
+def test_texts_and_words_are_gone_through_once(work, docs_of, monkeypatch):
+    plans, cut = [], work.cut
+    monkeypatch.setattr(work, "cut", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df))[1])
+    dedup_lines(work, docs_of([(1, "a b c d e f g h\nb"), (2, "c")]))
+    per_line = plans[0][: plans[0].index("Generate posexplode")]
+    assert "text_hash" not in per_line and "xxhash64(text" not in per_line
+    assert per_line.count("octet_length(replace(") == 1
+    assert "trim(" not in per_line.replace("ltrim(", "").replace("trim(regexp_replace(", "")
+
+
+def test_every_word_of_every_length_can_differ(work, docs_of):
+    pairs, edits = [], 0
+    for n in [*range(MIN_WORDS, 26), 31, 32, 33, 39, 40, 41, 63, 64, 65]:
+        for at in range(n):
+            for kind in ("replaced", "inserted", "deleted"):
+                if kind == "deleted" and n == MIN_WORDS:
+                    continue
+                edits += 1
+                words = [f"{edits}w{w}" for w in range(n)]
+                other = words[:at] + {"replaced": ["x"], "inserted": ["x", words[at]], "deleted": []}[kind] + words[at + 1 :]
+                pairs += [(2 * edits, " ".join(words)), (2 * edits + 1, " ".join(other))]
+    rows = dedup_lines(work, docs_of(pairs, clash=False).repartition(4)).collect()
+    assert {r["doc_id"]: r["kept_text"] for r in rows} == {i: "" if i % 2 else text for i, text in pairs}
+
+
+def test_least_lengths_of_few_words(work, docs_of):
+    rng = np.random.default_rng(5)
+    pairs = [(i, " ".join(f"w{w}" for w in rng.integers(0, 4, rng.integers(1, 7)))) for i in range(60)]
+    for least in (1, 2, 3):
+        near = lambda a, b: a == b or (min(len(a), len(b)) >= least and distance(a, b) <= 1)  # noqa: B023, E731
+        kept = {i: "" if any(near(o.split(), t.split()) for _, o in pairs[:i]) else t for i, t in pairs}
+        assert {r["doc_id"]: r["kept_text"] for r in dedup_lines(work, docs_of(pairs), min_words=least).collect()} == kept
